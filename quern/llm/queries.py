@@ -11,6 +11,27 @@ from quern.runtime import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.sentences import evidence_texts, sentence_units
+
+    return sentence_units(evidence_texts(table(spark, sf_dir, "wiki_evidence")), ["evidence_id", "sentence_id"])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.lookalikes import same_looking
+
+    return same_looking(table(spark, sf_dir, "concept_pairs"), table(spark, sf_dir, "wiki_evidence"))
+
+
+def p2_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from quern.llm.lookalikes import looks_like
+
+    pairs = table(spark, sf_dir, "concept_pairs")
+    return pairs.select("row_no", looks_like(F.col("concept_1")).alias("concept_1"), looks_like(F.col("concept_2")).alias("concept_2"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.ranking import rank_relations
 
@@ -39,7 +60,7 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p4_found, p4_strengths, p6_found, p7_ids)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p4_found, p4_strengths, p6_found, p7_ids)}
 
 #: Queries whose result DuckDB can state; the others are tested against brute force, round trips or fixtures.
 ORACLE_SQL: dict[str, str] = {}
