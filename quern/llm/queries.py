@@ -32,6 +32,13 @@ def p2_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("row_no", looks_like(F.col("concept_1")).alias("concept_1"), looks_like(F.col("concept_2")).alias("concept_2"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.vocabulary import mapped, typed_values
+
+    typed = typed_values(table(spark, sf_dir, "raw_relations"), table(spark, sf_dir, "canonical_relations"))
+    return mapped(typed, table(spark, sf_dir, "relation_vocab"), "typed")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.ranking import rank_relations
 
@@ -60,7 +67,7 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p4_found, p4_strengths, p6_found, p7_ids)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids)}
 
 #: Queries whose result DuckDB can state; the others are tested against brute force, round trips or fixtures.
 ORACLE_SQL: dict[str, str] = {}
