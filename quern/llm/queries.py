@@ -67,7 +67,13 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.contamination import contained_items
+
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids, p8_found)}
 
 #: Queries whose result DuckDB can state; the others are tested against brute force, round trips or fixtures.
 ORACLE_SQL: dict[str, str] = {}
