@@ -73,7 +73,19 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids, p8_found)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.mojibake import garbled_documents
+
+    return garbled_documents(table(spark, sf_dir, "documents"))
+
+
+def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.mojibake import restored_documents
+
+    return restored_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids, p8_found, p9_found, p9_restored)}
 
 #: Queries whose result DuckDB can state; the others are tested against brute force, round trips or fixtures.
 ORACLE_SQL: dict[str, str] = {}
