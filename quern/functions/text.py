@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import html
 import sys
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,12 +85,18 @@ def cache_key(model: Column, text: Column) -> Column:
     return F.sha2(F.concat_ws("\0", model, text), 256)
 
 
-def clean_wiki_text(c: Column) -> Column:
-    """Page text without [n] markers, the common entities decoded, white space collapsed."""
-    out = c
-    for entity, char in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return normalize_space(F.regexp_replace(out, r"\[\d+\]", ""))
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def unescape_entities(c: Column) -> Column:
+    """HTML entities decoded; only texts with an ampersand leave the JVM."""
+    return F.coalesce(F.pandas_udf(_unescaped, "string")(F.when(F.contains(c, F.lit("&")), c)), c)
+
+
+def clean_wiki_text(c: Column, unescape: bool = True) -> Column:
+    """Page text without [n] markers, entities decoded, white space collapsed."""
+    return normalize_space(F.regexp_replace(unescape_entities(c) if unescape else c, r"\[[0-9]+\]", ""))
 
 
 #: Fixed value: white space after a closing mark and before an ASCII capital, digit, quote or bracket.
@@ -103,9 +111,14 @@ def split_sentences(c: Column, min_chars: int = 25, max_chars: int = 900) -> Col
 
 def alias_variants(label: Column) -> Column:
     """Folded spellings of a concept: underscores as spaces, without parentheses, without a leading The."""
-    bare = F.trim(F.regexp_replace(label, r"\s*\([^)]*\)", ""))
-    forms = F.array(casefold(F.trim(label)), casefold(F.trim(F.replace(label, F.lit("_"), F.lit(" ")))), casefold(bare), casefold(F.trim(F.regexp_replace(label, r"^The ", ""))))
-    return F.filter(F.array_distinct(forms), lambda x: x != "")
+    tidy = normalize_space(label)
+    forms = F.array(
+        casefold(tidy),
+        casefold(F.replace(tidy, F.lit("_"), F.lit(" "))),
+        casefold(F.trim(F.regexp_replace(tidy, r"\s*\([^)]*\)\s*", ""))),
+        F.when(tidy.startswith("The "), casefold(F.substring(tidy, 5, 1 << 30))),
+    )
+    return F.filter(F.array_distinct(forms), lambda x: x.isNotNull() & (x != ""))
 
 
 def contains_any(sentence: Column, aliases: Column) -> Column:
