@@ -104,12 +104,12 @@ def _look_sql(x: str) -> str:
         char = chr(code)
         tag = unicodedata.decomposition(char)
         single = unicodedata.normalize("NFKC", char)
-        if char in SHAPES and SHAPES[char].get("Latin", char) != char:
+        if char in "\u2010\u2011":
+            frm, to = [*frm, char], [*to, "-"]
+        elif char in SHAPES and SHAPES[char].get("Latin", char) != char:
             frm, to = [*frm, char], [*to, SHAPES[char]["Latin"]]
         elif (tag.startswith("<") or char == "\u212a") and len(single) == 1 and single != char:
             frm, to = [*frm, char], [*to, SHAPES[single]["Latin"] if single in SHAPES and "Latin" in SHAPES[single] else single]
-        elif char in "\u2010\u2011":
-            frm, to = [*frm, char], [*to, "-"]
     gone = "".join(chr(c) for c in range(0x80, 0xFFFF) if INVISIBLE.match(chr(c)))
     out = f"translate({x}, {_q(gone)}, '')"
     for code in range(0x370, 0x530):  # Greek and Cyrillic letters with an accent, as letter and accent
