@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,16 +37,42 @@ def overlap(stem: Column, target: Column) -> Column:
     return F.coalesce(F.aggregate(F.map_values(shared), F.lit(0.0), lambda acc, x: acc + x), F.lit(0.0))
 
 
+def _unit_sets(column: pa.Array) -> list[np.ndarray]:
+    """Each row's vectors as one matrix of unit rows; null rows and null vectors are left out, zero vectors stay zero."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sets = []
+    for row in column:
+        vectors = [v for v in (row.values or ()) if v.is_valid] if row.is_valid else []
+        if not vectors:
+            sets.append(np.zeros((0, 0)))
+            continue
+        m = np.stack([v.values.to_numpy(zero_copy_only=False).astype(np.float64) for v in vectors])
+        size = np.sqrt((m * m).sum(1))
+        sets.append(m / np.where(size == 0, 1.0, size)[:, None])
+    return sets
+
+
 def context_similarity(sides: DataFrame, keys: list[str], left: str, right: str, threshold: float = 0.5) -> DataFrame:
     """(keys, similarity): mean of the cosines above threshold over all pairs of two arrays of vectors, 0 without any.
 
-    The vectors are made unit once; each pair of sets stays within its row.
+    Both arrays of a row are small (the contexts of one pair); their cosines are one matrix product. Vectors of different
+    length in a row fail the job.
     """
-    units = sides.select(*keys, F.transform(left, unit).alias("l"), F.transform(right, unit).alias("r"))
-    cosines = F.flatten(F.transform("l", lambda u: F.transform("r", lambda v: dot(u, v))))
-    kept = units.select(*keys, F.filter(cosines, lambda c: c > threshold).alias("kept"))
-    mean = F.aggregate("kept", F.lit(0.0), lambda acc, x: acc + x) / F.greatest(F.size("kept"), F.lit(1))
-    return kept.select(*keys, F.when(F.size("kept") > 0, mean).otherwise(0.0).alias("similarity"))
+    fields = [sides.schema[k] for k in keys]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", similarity double"
+    n = len(keys)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for u, v in zip(_unit_sets(batch.column(n)), _unit_sets(batch.column(n + 1))):
+                c = (u @ v.T).ravel() if len(u) and len(v) else np.zeros(0)
+                kept = c[c > threshold]
+                out.append(float(kept.mean()) if len(kept) else 0.0)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), pa.array(out, pa.float64())], names=[*keys, "similarity"])
+
+    return sides.select(*keys, left, right).mapInArrow(compare, schema)
 
 
 def ties(values: Column, tolerance: float = 1e-10) -> Column:

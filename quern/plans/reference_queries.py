@@ -443,18 +443,19 @@ def vector_zero_guard(spark, d):
     return table(spark, d, "embedding_cache").where(finite).select("cache_key", F.round(V.cosine(F.col("vector"), F.col("vector")), 9).alias("self_similarity"))
 
 
-S_CONTEXT = f"""{S_VEC}, sides AS (SELECT label, vec_id % 2 AS side, v FROM vec)"""
+#: Sets of vectors as those of one pair's contexts: up to 50 of a label by range of ids, odd ids against even ones.
+S_CONTEXT = f"""{S_VEC}, sides AS (SELECT label, vec_id // 100 AS part, vec_id % 2 AS side, v FROM vec)"""
 
 
-@query(f"""WITH {S_CONTEXT}, labels AS (SELECT DISTINCT label FROM vec), cosines AS (SELECT a.label AS label, {s_cos('a.v', 'b.v')} AS c FROM sides a JOIN sides b ON a.label = b.label AND a.side = 0 AND b.side = 1)
-    SELECT label, coalesce(round(avg(c) FILTER (WHERE c > 0.2), 9), 0.0) AS similarity, coalesce(round(avg(c) FILTER (WHERE c > 0.99), 9), 0.0) AS similarity_none FROM labels LEFT JOIN cosines USING (label) GROUP BY 1""")
+@query(f"""WITH {S_CONTEXT}, labels AS (SELECT DISTINCT label, part FROM sides), cosines AS (SELECT a.label AS label, a.part AS part, {s_cos('a.v', 'b.v')} AS c FROM sides a JOIN sides b ON a.label = b.label AND a.part = b.part AND a.side = 0 AND b.side = 1)
+    SELECT label, part, coalesce(round(avg(c) FILTER (WHERE c > 0.2), 9), 0.0) AS similarity, coalesce(round(avg(c) FILTER (WHERE c > 0.99), 9), 0.0) AS similarity_none FROM labels LEFT JOIN cosines USING (label, part) GROUP BY 1, 2""")
 def context_similarity(spark, d):
     e = table(spark, d, "embeddings")
     side = lambda n: F.filter(F.collect_list(F.when(F.col("vec_id") % 2 == n, F.col("embedding"))), lambda v: v.isNotNull())
-    sides = e.groupBy("label").agg(side(0).alias("l"), side(1).alias("r"))
-    low = V.context_similarity(sides, ["label"], "l", "r", 0.2).select("label", F.round("similarity", 9).alias("similarity"))
-    none = V.context_similarity(sides, ["label"], "l", "r", 0.99).select("label", F.round("similarity", 9).alias("similarity_none"))
-    return low.join(none, "label")
+    sides = e.groupBy("label", F.floor(F.col("vec_id") / 100).alias("part")).agg(side(0).alias("l"), side(1).alias("r"))
+    low = V.context_similarity(sides, ["label", "part"], "l", "r", 0.2).select("label", "part", F.round("similarity", 9).alias("similarity"))
+    none = V.context_similarity(sides, ["label", "part"], "l", "r", 0.99).select("label", "part", F.round("similarity", 9).alias("similarity_none"))
+    return low.join(none, ["label", "part"])
 
 
 @query(f"""WITH {S_PAIRS}, {S_ONE_PAIR}, asked AS (SELECT pair_id, concept_1 || ' : ' || concept_2 AS pair_text, concept_1 || ' : ' || concept_2 || ' | base relation: ' || base_relation AS stem_text FROM one_pair)
@@ -541,10 +542,13 @@ def question_build(spark, d):
 
 
 def _contexts(spark, d):
-    """Context vectors of a pair: the usable cached vectors of 64 dimensions whose key starts with two hex digits that end the pair's id."""
+    """Stand-in contexts, three for each two hex digits: usable cached vectors by the first digits of their key, met by the last of a pair's id."""
+    from pyspark.sql.window import Window
+
     usable = table(spark, d, "embedding_cache").where("size(vector) = 64 AND dimensions = 64 AND NOT exists(vector, x -> x IS NULL OR isnan(x) OR x = float('Infinity') OR x = float('-Infinity'))")
-    keyed = usable.select(F.substring("cache_key", 1, 2).alias("k"), "cache_key", "vector").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("cache_key", "vector"))).alias("c"))
-    return keyed.select("k", F.transform(F.slice("c", 1, 3), lambda x: x["vector"]).alias("vectors"))
+    first = F.row_number().over(Window.partitionBy("k").orderBy("cache_key"))
+    few = usable.select(F.substring("cache_key", 1, 2).alias("k"), "cache_key", "vector").withColumn("n", first).where("n <= 3")
+    return few.groupBy("k").agg(F.collect_list("vector").alias("vectors"))
 
 
 S_ANSWERS = f"""{S_QUESTIONS},
