@@ -191,19 +191,22 @@ def answer(group: pa.Table, top: int, least: float) -> pa.Table:
         return schema.empty_table()
     a, b, s = np.concatenate(left), np.concatenate(right), np.concatenate(cosine)
     gap = np.round((1.0 - np.minimum(s.astype(np.float64), 1.0)) * 1e6).astype(np.int32)
-    keep = (a != b) & (gap <= round((1 - least) * 1e6)) & (keys[a] != keys[b])
+    names, ids = np.unique(keys.astype(str), return_inverse=True)  # repeated rows are one; ids are in order of the keys
+    a, b = ids[a], ids[b]
+    keep = (a != b) & (gap <= round((1 - least) * 1e6))
     a, b, gap = a[keep], b[keep], gap[keep]
-    rank = np.argsort(np.argsort(keys, kind="stable"), kind="stable") if len(keys) else np.zeros(0, int)
     f, t, g = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([gap, gap])
-    order = np.lexsort((rank[t], g, f))
+    order = np.lexsort((g, t, f))
     f, t, g = f[order], t[order], g[order]
     fresh = np.ones(len(f), bool)
     fresh[1:] = (f[1:] != f[:-1]) | (t[1:] != t[:-1])
     f, t, g = f[fresh], t[fresh], g[fresh]
+    order = np.lexsort((t, g, f))
+    f, t, g = f[order], t[order], g[order]
     begin = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]])) if len(f) else np.zeros(0, int)
     place = np.arange(len(f)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(f)]])))
     f, t, g = f[place < top], t[place < top], g[place < top]
-    return pa.Table.from_arrays([pa.array(keys[f].tolist(), pa.string()), pa.array(keys[t].tolist(), pa.string()), pa.array(g)], schema=schema)
+    return pa.Table.from_arrays([pa.array(names[f].tolist(), pa.string()), pa.array(names[t].tolist(), pa.string()), pa.array(g)], schema=schema)
 
 
 def nearest(cache: DataFrame, top: int = 5, least: float = 0.82, key: str = "cache_key", model: str = "model", dimensions: str = "dimensions", vector: str = "vector", probes: int = PROBES, groups: int = MAX_GROUPS) -> DataFrame:
@@ -224,7 +227,11 @@ def nearest(cache: DataFrame, top: int = 5, least: float = 0.82, key: str = "cac
     routed = vectors.mapInArrow(copies, ROUTED)
     found = routed.groupBy("model", "c1", "part").applyInArrow(answers, "key string, neighbour string, gap int")
     # a key meets at most top rows from each group and part that it visits
-    best = found.groupBy("key").agg(F.slice(F.array_sort(F.collect_set(F.struct("gap", "neighbour"))), 1, top).alias("best"))
+    met = found.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("neighbour", "gap"))).alias("met"))
+    # the same pair from two groups may differ in the last digit: the smaller gap counts
+    once = F.filter("met", lambda m, i: (i == 0) | (F.try_element_at("met", i)["neighbour"] != m["neighbour"]))
+    order = F.array_sort(F.transform(once, lambda m: F.struct(m["gap"].alias("gap"), m["neighbour"].alias("neighbour"))))
+    best = met.select("key", F.slice(order, 1, top).alias("best"))
     return best.select("key", F.explode("best").alias("b")).select("key", F.col("b.neighbour").alias("neighbour"), (1 - F.col("b.gap") / 1e6).alias("similarity"))
 
 
