@@ -107,9 +107,9 @@ class Trie:
                     d = row[n] + cost
                     if d <= limit and d < found.get(entry, big):
                         found[entry] = d
-            low, high = max(1, depth + 1 - limit), min(n, depth + 1 + limit)
-            if low > n:
+            if depth + 1 - limit > n:
                 return
+            low, high = max(1, depth + 1 - limit), min(n, depth + 1 + limit)
             for char, child in node.items():
                 if char == "":
                     continue
