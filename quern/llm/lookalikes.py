@@ -114,13 +114,13 @@ def consistent(token: str) -> str:
     return "".join(SHAPES[c].get("Latin", c) if c in SHAPES else c for c in token)
 
 
-def visible_form(text: str) -> str:
-    """The consistent form of a text; texts that look the same have the same."""
+def visible_form(text: str, spaces: bool = True) -> str:
+    """The consistent form of a text; texts that look the same have the same. spaces: runs of them are one, none at the ends."""
     if not text.isascii():
         text = unicodedata.normalize("NFKD", INVISIBLE.sub("", text))
         text = "".join(DASHES.get(c, c) for c in text)
         text = unicodedata.normalize("NFC", TOKEN.sub(lambda m: consistent(m.group()), text))
-    return SPACES.sub(" ", text).strip()
+    return SPACES.sub(" ", text).strip() if spaces else text
 
 
 @lru_cache(maxsize=8)

@@ -46,7 +46,7 @@ def allowed(length: int) -> int:
 
 def plain_value(text: str) -> str:
     """Folded words of a typed value, separators kept as they part alternatives."""
-    text = visible_form(text)
+    text = visible_form(text, spaces=False)
     text = re.sub(r"(?<=[a-zäöüß0-9])(?=[A-Z])", " ", text)
     text = "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c))
     return text
@@ -212,7 +212,10 @@ class Vocabulary:
         if best is None:
             # letters lost next to a space leave the space behind: it counts as a letter here
             spaced = re.sub(r"[\s_-]", " ", text)
-            near_by = self.straight.within(spaced, allowed(len(spaced)))
+            near_by: dict[int, int] = {}
+            for value in dict.fromkeys((spaced, spaced.strip().replace("  ", " "))):
+                for entry, d in self.straight.within(value, allowed(len(value))).items():
+                    near_by[entry] = min(d, near_by.get(entry, d))
             if near_by:
                 least = min(near_by.values())
                 best = least, {e for e, d in near_by.items() if d == least}
