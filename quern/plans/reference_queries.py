@@ -366,6 +366,38 @@ def blank_coalesce(spark, d):
     return flat.select("canon_id", "pos", F.coalesce(F.nullif(F.col("r.source"), F.lit("")), F.lit("reviewed")).alias("source"), F.nullif(F.col("r.notes"), F.lit("")).alias("notes"))
 
 
+@query(f"WITH {S_PAIRS}, titled AS (SELECT DISTINCT page_title AS title, {s_fold(s_norm('page_title'))} AS folded FROM documents WHERE page_title IS NOT NULL) SELECT row_no, title, place FROM (SELECT row_no, title, CAST(row_number() OVER (PARTITION BY row_no ORDER BY title) AS INTEGER) AS place FROM pairs JOIN titled ON folded = {s_fold('concept_1')}) WHERE place <= 2")
+def search_titles(spark, d):
+    from quern.sources.providers import search_titles as search
+
+    pages = _pages(spark, d).where("page_title IS NOT NULL").select(F.col("page_title").alias("title"))
+    asked = _pairs(spark, d).select(F.col("row_no").alias("query_id"), F.col("concept_1").alias("query"))
+    return search(asked, pages, limit=2).withColumnRenamed("query_id", "row_no")
+
+
+@query("SELECT ranking_id, r.relation AS relation, round(CASE WHEN r.appearances > 0 THEN coalesce(r.most_count, 0) / r.appearances ELSE 0 END - CASE WHEN r.appearances > 0 THEN coalesce(r.least_count, 0) / r.appearances ELSE 0 END, 9) AS rate FROM (SELECT ranking_id, unnest(relations) AS r FROM relation_rankings) WHERE r IS NOT NULL")
+def ranking_rates(spark, d):
+    flat = table(spark, d, "relation_rankings").select("ranking_id", F.explode("relations").alias("r")).where("r IS NOT NULL").select("ranking_id", "r.*")
+    rate = lambda c: F.when(F.col("appearances") > 0, F.coalesce(c, F.lit(0)) / F.col("appearances")).otherwise(0.0)
+    return flat.select("ranking_id", "relation", F.round(rate("most_count") - rate("least_count"), 9).alias("rate"))
+
+
+@query("SELECT canon_id FROM canonical_relations WHERE len(relations) <> len(list_distinct(list_transform(relations, lambda r: coalesce(r.relation, ''))))")
+def repeated_labels(spark, d):
+    labels = F.transform("relations", lambda r: F.coalesce(r["relation"], F.lit("")))
+    return table(spark, d, "canonical_relations").where(F.size(labels) != F.size(F.array_distinct(labels))).select("canon_id")
+
+
+@query(f"""WITH {S_PAIRS}, {S_ONE_PAIR}, texts AS (SELECT 'context' AS family, s.text AS text FROM (SELECT unnest(evidence_sentences) AS s FROM wiki_evidence WHERE coalesce(passes_minimum, false)) WHERE s.text IS NOT NULL
+    UNION SELECT 'stem', concept_1 || ' : ' || concept_2 || ' | base relation: ' || base_relation FROM one_pair UNION SELECT 'pair', concept_1 || ' : ' || concept_2 FROM one_pair) SELECT family, count(*) AS n FROM texts GROUP BY 1""")
+def embedding_texts(spark, d):
+    pairs = _one_pair(spark, d)
+    context = ev.usable(table(spark, d, "wiki_evidence")).select(F.explode("evidence_sentences").alias("s")).select(F.lit("context").alias("family"), F.col("s.text").alias("text")).where("text IS NOT NULL")
+    stems = pairs.select(F.lit("stem").alias("family"), qs.stem_text(F.col("concept_1"), F.col("concept_2"), F.col("base_relation")).alias("text"))
+    targets = pairs.select(F.lit("pair").alias("family"), qs.pair_text(F.col("concept_1"), F.col("concept_2")).alias("text"))
+    return context.unionByName(stems).unionByName(targets).distinct().groupBy("family").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- Max-Diff ----------------------------------------------------------------------------------------------------------
 S_CHOICES = f"""last_choice AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pair_id, block_id ORDER BY answered_at DESC, choice_id DESC) AS n FROM maxdiff_choices) WHERE n = 1),
     resolved AS (SELECT pair_id, block_id, relations,
@@ -521,6 +553,17 @@ def stem_schedule(spark, d):
     return qs.stem_schedule(_eligible(spark, d), Questions(target_count=2, questions_per_stem=2))
 
 
+@query(f"{S_ELIGIBLE} SELECT stem_id, copy, place FROM (SELECT pair_id AS stem_id, 0 AS copy, {s_draw(42, 'pair_id', '0')} AS place FROM eligible) ORDER BY place, stem_id LIMIT 10")
+def schedule_truncated(spark, d):
+    return qs.stem_schedule(_eligible(spark, d), Questions(target_count=2, total_questions=10))
+
+
+@query(f"{S_ELIGIBLE}, {S_POOL} SELECT pair_id FROM eligible e WHERE EXISTS (SELECT 1 FROM pool p WHERE p.stem_id = e.pair_id)")
+def stems_with_overlap(spark, d):
+    eligible = _eligible(spark, d)
+    return eligible.join(qs.target_pools(eligible).withColumnRenamed("stem_id", "pair_id"), "pair_id", "left_semi").select("pair_id")
+
+
 S_SAMPLE = f"""sampled AS (SELECT stem_id, slot, target_id FROM (
     SELECT stem_id, target_id, row_number() OVER (PARTITION BY stem_id ORDER BY {s_draw(42, 'stem_id', '0', 'target_id')}, target_id) - 1 AS slot, count(*) OVER (PARTITION BY stem_id) AS n FROM pool) WHERE slot < 2 AND n >= 2)"""
 S_QUESTIONS = f"{S_ELIGIBLE}, {S_POOL}, {S_SAMPLE}"
