@@ -20,12 +20,20 @@ def page_sentences(pages: DataFrame, page_id: str, title: str, text: str, settin
 def candidate_pages(pairs: DataFrame, pages: DataFrame, page_id: str, title: str, max_pages: int = 10) -> DataFrame:
     """(pair_id, page_id, page_pos): pages whose title is a concept of the pair, first concept first, at most max_pages."""
     titled = pages.select(F.col(page_id).alias("page_id"), casefold(normalize_space(F.col(title))).alias("folded")).where("folded <> ''")
+    # a pair needs the first pages of a title only: a title of a tenth of all pages meets its pairs with max_pages rows
+    first = F.row_number().over(Window.partitionBy("folded").orderBy("page_id"))
+    titled = titled.withColumn("n", first).where(F.col("n") <= max_pages).drop("n")
     asked = pairs.select("pair_id", F.posexplode(F.array(casefold(normalize_space(F.col("concept_1"))), casefold(normalize_space(F.col("concept_2"))))).alias("side", "folded"))
     found = asked.join(titled, "folded").groupBy("pair_id", "page_id").agg(F.min("side").alias("side"))
     order = Window.partitionBy("pair_id").orderBy("side", "page_id")
     return found.withColumn("page_pos", F.row_number().over(order) - 1).where(F.col("page_pos") < max_pages).select("pair_id", "page_id", "page_pos")
 
 
+def asked_pages(pages: DataFrame, candidates: DataFrame, page_id: str) -> DataFrame:
+    """The pages that any pair asks for; only these are split."""
+    return pages.join(candidates.select(F.col("page_id").alias(page_id)).distinct(), page_id, "left_semi")
+
+
 def cooccurrences(pairs: DataFrame, candidates: DataFrame, sentences: DataFrame) -> DataFrame:
     """(pair_id, page_pos, page_title, sentence_pos, sentence) with an alias of each concept.
 
@@ -67,8 +75,8 @@ def evidence_records(pairs: DataFrame, evidence: DataFrame, candidates: DataFram
 def retrieve(pairs: DataFrame, pages: DataFrame, settings: Wikipedia | None = None, page_id: str = "page_id", title: str = "title", text: str = "text") -> DataFrame:
     """Evidence records of pairs over a table of pages (the offline page source)."""
     settings = settings or Wikipedia()
-    sentences = page_sentences(pages, page_id, title, text, settings)
     candidates = candidate_pages(pairs, pages, page_id, title, settings.max_pages)
+    sentences = page_sentences(asked_pages(pages, candidates, page_id), page_id, title, text, settings)
     evidence = numbered_evidence(cooccurrences(pairs, candidates, sentences), settings.language)
     titles = pages.select(F.col(page_id).alias("page_id"), F.col(title).alias("page_title"))
     return evidence_records(pairs, evidence, candidates, titles, settings.min_sentences)

@@ -45,19 +45,32 @@ def eligible_pairs(pairs: DataFrame, rankings: DataFrame, evidence: DataFrame, s
     scored = usable_rankings(rankings).select("pair_id", ranking_scores(F.col("relations")).alias("scores"))
     context = evidence.select("pair_id", (F.coalesce("passes_minimum", F.lit(False)) | F.lit(allow_below_minimum)).alias("has_context"))
     joined = pairs.join(scored, "pair_id").join(context, "pair_id", "left")
-    kept = joined.where(F.lit(not settings.require_context_pass) | F.coalesce("has_context", F.lit(False)))
-    size = F.count(F.lit(1)).over(Window.partitionBy("base_relation"))
-    return kept.withColumn("group_size", size).where(F.col("group_size") >= settings.target_count + 1).drop("group_size", "has_context")
+    kept = joined.where(F.lit(not settings.require_context_pass) | F.coalesce("has_context", F.lit(False))).drop("has_context")
+    # group sizes are counted before they move: a base relation with a tenth of all pairs never stands in one task
+    large = kept.groupBy("base_relation").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= settings.target_count + 1)
+    return kept.join(large.select("base_relation"), "base_relation", "left_semi")
 
 
-def target_pools(eligible: DataFrame) -> DataFrame:
+#: Members of a relation's list that meet a stem at a time, and how many such parts of a longer list a stem draws.
+POOL_PART, POOL_DRAWS = 64, 2
+
+
+def target_pools(eligible: DataFrame, seed: int = 42, part: int = POOL_PART, draws: int = POOL_DRAWS) -> DataFrame:
     """(stem_id, target_id): other pairs of the stem's base relation that share a ranked relation.
 
-    An equi-join on (base relation, relation) replaces the comparison of all pairs of a group.
+    The pool is whole where each list of a (base relation, relation) has up to part members. It is only sampled from, so a
+    longer list is split by hash into parts of about that size of which a stem draws some: the pairs grow with the stems,
+    not with the square of a group, and a hot relation is spread over its parts.
     """
     keys = eligible.select("base_relation", "pair_id", F.explode(F.map_keys("scores")).alias("relation"))
-    stems, targets = keys.withColumnRenamed("pair_id", "stem_id"), keys.withColumnRenamed("pair_id", "target_id")
-    met = stems.join(targets, ["base_relation", "relation"]).where("stem_id <> target_id")
+    parts = keys.groupBy("base_relation", "relation").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
+    split = keys.join(parts, ["base_relation", "relation"])
+    targets = split.select("base_relation", "relation", F.pmod(F.xxhash64("pair_id"), F.col("parts")).alias("part"), F.col("pair_id").alias("target_id"))
+    numbers = F.when(F.col("parts") <= draws, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.sequence(F.lit(0), F.lit(draws - 1)))
+    asked = split.select("base_relation", "relation", "parts", F.col("pair_id").alias("stem_id"), F.explode(numbers).alias("draw"))
+    drawn = F.when(F.col("parts") <= draws, F.col("draw")).otherwise(F.pmod(F.xxhash64(F.lit(seed), "stem_id", "relation", "draw"), F.col("parts")))
+    stems = asked.select("base_relation", "relation", drawn.cast("bigint").alias("part"), "stem_id").distinct()
+    met = stems.join(targets, ["base_relation", "relation", "part"]).where("stem_id <> target_id")
     return met.select("stem_id", "target_id").distinct()
 
 
@@ -75,13 +88,15 @@ def stem_schedule(stems: DataFrame, settings: Questions | None = None) -> DataFr
     n = base.count()
     if settings.total_questions <= n:
         return base.orderBy("place", "stem_id").limit(settings.total_questions)
-    spark = stems.sparkSession
+    # with replacement: a slot draws a part of the stems, then a place in it; no stem is numbered across the whole table
     distinct = stems.select(F.col("pair_id").alias("stem_id"))
-    m = distinct.count()
-    numbered = distinct.withColumn("slot", F.row_number().over(Window.orderBy("stem_id")) - 1)
-    extra = spark.range(settings.total_questions - n).select(F.col("id").alias("extra"), F.pmod(F.xxhash64(F.lit(settings.seed), "id"), F.lit(m)).cast("int").alias("slot"))
-    drawn = extra.join(numbered, "slot").select("stem_id", (F.col("extra") + settings.questions_per_stem).cast("int").alias("copy"))
-    return base.unionByName(drawn.withColumn("place", draw(settings.seed, F.col("stem_id"), F.col("copy"))))
+    parts = max(1, distinct.count() // POOL_PART)
+    placed = distinct.withColumn("part", F.pmod(F.xxhash64("stem_id"), F.lit(parts)))
+    placed = placed.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("stem_id")) - 1).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("part")))
+    slots = stems.sparkSession.range(settings.total_questions - n).select(F.col("id").alias("extra"), F.xxhash64(F.lit(settings.seed), "id").alias("h")).withColumn("part", F.pmod("h", F.lit(parts)))
+    drawn = slots.join(placed, "part").where(F.pmod(F.shiftrightunsigned("h", 20), F.col("size")) == F.col("at"))
+    extra = drawn.select("stem_id", (F.col("extra") + settings.questions_per_stem).cast("int").alias("copy"))
+    return base.unionByName(extra.withColumn("place", draw(settings.seed, F.col("stem_id"), F.col("copy"))))
 
 
 def sampled_targets(schedule: DataFrame, pools: DataFrame, settings: Questions | None = None) -> DataFrame:

@@ -199,9 +199,10 @@ def _pages(spark, d):
 
 
 def _found(spark, d):
-    sentences = ev.page_sentences(_pages(spark, d), "doc_id", "page_title", "text")
     pairs = _one_pair(spark, d)
-    return pairs, ev.cooccurrences(pairs, ev.candidate_pages(pairs, _pages(spark, d), "doc_id", "page_title"), sentences)
+    candidates = ev.candidate_pages(pairs, _pages(spark, d), "doc_id", "page_title")
+    sentences = ev.page_sentences(ev.asked_pages(_pages(spark, d), candidates, "doc_id"), "doc_id", "page_title", "text")
+    return pairs, ev.cooccurrences(pairs, candidates, sentences)
 
 
 @query(f"WITH {S_PAIRS}, {S_ONE_PAIR}, {S_CANDIDATES} SELECT pair_id, page_id, page_pos FROM candidates")

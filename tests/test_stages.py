@@ -137,6 +137,16 @@ def test_pools_and_sampling(spark):
     assert sorted(map(tuple, sampled.collect())) == sorted(map(tuple, again.collect()))
 
 
+def test_long_lists_are_met_in_parts(spark):
+    eligible = _eligible(spark, 60)
+    whole = {tuple(r) for r in qs.target_pools(eligible).collect()}
+    assert len(whole) == 60 * 59
+    parts = {tuple(r) for r in qs.target_pools(eligible, part=6, draws=2).collect()}
+    assert parts < whole and {s for s, _ in parts} == {f"p{i}" for i in range(60)} and len(parts) < 60 * 45
+    settings = Questions()
+    assert qs.sampled_targets(qs.stem_schedule(eligible, settings), qs.target_pools(eligible, part=6), settings).groupBy("stem_id").count().where("count = 4").count() == 60
+
+
 def test_small_pools_are_skipped(spark):
     eligible = _eligible(spark, 4)
     settings = Questions()
