@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from quern.config import Wikipedia
 from quern.functions.text import alias_variants, casefold, clean_wiki_text, contains_any, normalize_space, page_url, split_sentences
+from quern.runtime import cut
 
 
 def page_sentences(pages: DataFrame, page_id: str, title: str, text: str, settings: Wikipedia | None = None) -> DataFrame:
@@ -75,7 +76,7 @@ def evidence_records(pairs: DataFrame, evidence: DataFrame, candidates: DataFram
 def retrieve(pairs: DataFrame, pages: DataFrame, settings: Wikipedia | None = None, page_id: str = "page_id", title: str = "title", text: str = "text") -> DataFrame:
     """Evidence records of pairs over a table of pages (the offline page source)."""
     settings = settings or Wikipedia()
-    candidates = candidate_pages(pairs, pages, page_id, title, settings.max_pages)
+    candidates = cut(candidate_pages(pairs, pages, page_id, title, settings.max_pages))  # short rows, read three times
     sentences = page_sentences(asked_pages(pages, candidates, page_id), page_id, title, text, settings)
     evidence = numbered_evidence(cooccurrences(pairs, candidates, sentences), settings.language)
     titles = pages.select(F.col(page_id).alias("page_id"), F.col(title).alias("page_title"))

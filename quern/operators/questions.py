@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from quern.config import Questions
 from quern.functions.text import stable_question_id
 from quern.functions.vectors import context_similarity, cosine, overlap, ties
+from quern.runtime import cut
 
 MEASURES = ("ranked_relational_overlap", "context_embedding_similarity", "prototypicality")
 
@@ -46,6 +47,8 @@ def eligible_pairs(pairs: DataFrame, rankings: DataFrame, evidence: DataFrame, s
     context = evidence.select("pair_id", (F.coalesce("passes_minimum", F.lit(False)) | F.lit(allow_below_minimum)).alias("has_context"))
     joined = pairs.join(scored, "pair_id").join(context, "pair_id", "left")
     kept = joined.where(F.lit(not settings.require_context_pass) | F.coalesce("has_context", F.lit(False))).drop("has_context")
+    # read many times from here on (pools, scores, texts): written once to the shared checkpoint folder
+    kept = cut(kept)
     # group sizes are counted before they move: a base relation with a tenth of all pairs never stands in one task
     large = kept.groupBy("base_relation").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= settings.target_count + 1)
     return kept.join(large.select("base_relation"), "base_relation", "left_semi")

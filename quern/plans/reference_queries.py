@@ -20,7 +20,7 @@ from quern.operators import pairs as pr
 from quern.operators import quality as ql
 from quern.operators import questions as qs
 from quern.operators import relations as rl
-from quern.runtime import table
+from quern.runtime import cut, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -200,7 +200,7 @@ def _pages(spark, d):
 
 def _found(spark, d):
     pairs = _one_pair(spark, d)
-    candidates = ev.candidate_pages(pairs, _pages(spark, d), "doc_id", "page_title")
+    candidates = cut(ev.candidate_pages(pairs, _pages(spark, d), "doc_id", "page_title"))
     sentences = ev.page_sentences(ev.asked_pages(_pages(spark, d), candidates, "doc_id"), "doc_id", "page_title", "text")
     return pairs, ev.cooccurrences(pairs, candidates, sentences)
 
@@ -554,9 +554,9 @@ def stem_schedule(spark, d):
     return qs.stem_schedule(_eligible(spark, d), Questions(target_count=2, questions_per_stem=2))
 
 
-@query(f"{S_ELIGIBLE} SELECT stem_id, copy, place FROM (SELECT pair_id AS stem_id, 0 AS copy, {s_draw(42, 'pair_id', '0')} AS place FROM eligible) ORDER BY place, stem_id LIMIT 10")
+@query(f"{S_ELIGIBLE} SELECT stem_id, copy, place FROM (SELECT pair_id AS stem_id, 0 AS copy, {s_draw(42, 'pair_id', '0')} AS place FROM eligible) ORDER BY place, stem_id LIMIT 3")
 def schedule_truncated(spark, d):
-    return qs.stem_schedule(_eligible(spark, d), Questions(target_count=2, total_questions=10))
+    return qs.stem_schedule(_eligible(spark, d), Questions(target_count=2, total_questions=3))
 
 
 @query(f"{S_ELIGIBLE}, {S_POOL} SELECT pair_id FROM eligible e WHERE EXISTS (SELECT 1 FROM pool p WHERE p.stem_id = e.pair_id)")
