@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.lookalikes import INVISIBLE, visible_form
+from quern.llm.lookalikes import ACCENTS, INVISIBLE, visible_form
 from quern.runtime import blocks, broadcast_bytes
 
 LEAST_WORDS = 20
@@ -51,7 +51,7 @@ def compared_words(text: str) -> list[str]:
     text = MARKS.sub("", INVISIBLE.sub("", text))
     if not text.isascii():
         text = visible_form(text)
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+        text = ACCENTS.sub("", unicodedata.normalize("NFKD", text))
     return WORD.findall(text.casefold())
 
 
@@ -121,20 +121,25 @@ class WuManber:
         i, j, changed, pending = place, at, 0, 0
         last, last_at, known = place, at, own[place] in self.distinctive
         n, m = len(own), len(words)
+        distinctive = self.distinctive
         while True:
-            i, j = i + way, j + way
-            if not (0 <= i < n and 0 <= j < m):
+            i += way
+            j += way
+            if i < 0 or j < 0 or i >= n or j >= m:
                 break
-            if own[i] == words[j]:
-                last, last_at, changed, pending = i, j, changed + pending, 0
-                known = known or own[i] in self.distinctive
+            word = own[i]
+            if word == words[j]:
+                last, last_at = i, j
+                if pending:
+                    changed, pending = changed + pending, 0
+                known = known or word in distinctive
                 continue
             moved = False
             if pending == 0:
                 # two equal words on a neighbouring diagonal: a word was inserted or dropped
                 for di, dj in ((1, 1), (2, 2), (0, 1), (0, 2), (1, 0), (3, 3)):
                     a, b = i + way * di, j + way * dj
-                    if 0 <= min(a, a + way) and max(a, a + way) < n and 0 <= min(b, b + way) and max(b, b + way) < m and own[a] == words[b] and own[a + way] == words[b + way]:
+                    if 0 <= a < n and 0 <= b < m and own[a] == words[b] and 0 <= a + way < n and 0 <= b + way < m and own[a + way] == words[b + way]:
                         if di != dj:
                             i, j, pending, moved = a - way, b - way, 1, True
                         break

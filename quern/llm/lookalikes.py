@@ -34,7 +34,11 @@ GREEK_SHAPES = "ΑΒ ΕΗΙ ΚΜΝΟΡ ΤΧΥΖα  ι  ορ    υν  "
 #: Characters without a shape of their own.
 INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿]")
 DASHES = {"‐": "-", "‑": "-", "‒": "-", "­": "", "−": "-", "﹣": "-", "－": "-"}
-TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ])*")
+#: Tokens with a letter beyond ASCII; the others are consistent as they are.
+TOKEN = re.compile(r"(?<![^\W\d_])[A-Za-z]*+(?:[^\W\d_A-Za-z]|[̀-ͯ])(?:[^\W\d_]|[̀-ͯ])*")
+DASH = re.compile("[" + "".join(DASHES) + "]")
+#: Accents that combine with letters of any alphabet.
+ACCENTS = re.compile("[̀-ͯ҃-҉᪰-᫿᷀-᷿⃐-⃰︠-︯]")
 SPACES = re.compile(r"[^\S\r\n\x0b\x0c\x1c-\x1e\x85  ]+")
 
 
@@ -118,7 +122,7 @@ def visible_form(text: str, spaces: bool = True) -> str:
     """The consistent form of a text; texts that look the same have the same. spaces: runs of them are one, none at the ends."""
     if not text.isascii():
         text = unicodedata.normalize("NFKD", INVISIBLE.sub("", text))
-        text = "".join(DASHES.get(c, c) for c in text)
+        text = DASH.sub(lambda m: DASHES[m.group()], text)
         text = unicodedata.normalize("NFC", TOKEN.sub(lambda m: consistent(m.group()), text))
     return SPACES.sub(" ", text).strip() if spaces else text
 
