@@ -54,25 +54,26 @@ def eligible_pairs(pairs: DataFrame, rankings: DataFrame, evidence: DataFrame, s
     return kept.join(large.select("base_relation"), "base_relation", "left_semi")
 
 
-#: Members of a relation's list that meet a stem at a time, and how many such parts of a longer list a stem draws.
-POOL_PART, POOL_DRAWS = 64, 2
+#: Members of a relation's list that meet a stem in one task; a longer list is met in several parts.
+POOL_PART = 64
 
 
-def target_pools(eligible: DataFrame, seed: int = 42, part: int = POOL_PART, draws: int = POOL_DRAWS) -> DataFrame:
+def target_pools(eligible: DataFrame, seed: int = 42, part: int = POOL_PART, draws: int | None = None) -> DataFrame:
     """(stem_id, target_id): other pairs of the stem's base relation that share a ranked relation.
 
-    The pool is whole where each list of a (base relation, relation) has up to part members. It is only sampled from, so a
-    longer list is split by hash into parts of about that size of which a stem draws some: the pairs grow with the stems,
-    not with the square of a group, and a hot relation is spread over its parts.
+    The pool is whole at every size: a list of a (base relation, relation) longer than part is split by hash, and each of its
+    stems meets every part, so that a hot relation is spread over its parts. Only where draws is given does a stem meet no
+    more than so many drawn parts of a longer list; no query and no stage asks for that.
     """
     keys = eligible.select("base_relation", "pair_id", F.explode(F.map_keys("scores")).alias("relation"))
     parts = keys.groupBy("base_relation", "relation").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
     split = keys.join(parts, ["base_relation", "relation"])
-    targets = split.select("base_relation", "relation", F.pmod(F.xxhash64("pair_id"), F.col("parts")).alias("part"), F.col("pair_id").alias("target_id"))
-    numbers = F.when(F.col("parts") <= draws, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.sequence(F.lit(0), F.lit(draws - 1)))
-    asked = split.select("base_relation", "relation", "parts", F.col("pair_id").alias("stem_id"), F.explode(numbers).alias("draw"))
-    drawn = F.when(F.col("parts") <= draws, F.col("draw")).otherwise(F.pmod(F.xxhash64(F.lit(seed), "stem_id", "relation", "draw"), F.col("parts")))
-    stems = asked.select("base_relation", "relation", drawn.cast("bigint").alias("part"), "stem_id").distinct()
+    targets = split.select("base_relation", "relation", F.pmod(F.xxhash64("pair_id"), F.col("parts")).cast("int").alias("part"), F.col("pair_id").alias("target_id"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    if draws is not None:
+        drawn = F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda i: F.pmod(F.xxhash64(F.lit(seed), "pair_id", "relation", i), F.col("parts")).cast("int"))
+        every = F.when(F.col("parts") <= draws, every).otherwise(F.array_distinct(drawn))
+    stems = split.select("base_relation", "relation", F.explode(every).alias("part"), F.col("pair_id").alias("stem_id"))
     met = stems.join(targets, ["base_relation", "relation", "part"]).where("stem_id <> target_id")
     return met.select("stem_id", "target_id").distinct()
 

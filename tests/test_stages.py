@@ -147,6 +147,13 @@ def test_long_lists_are_met_in_parts(spark):
     assert qs.sampled_targets(qs.stem_schedule(eligible, settings), qs.target_pools(eligible, part=6), settings).groupBy("stem_id").count().where("count = 4").count() == 60
 
 
+def test_long_lists_are_met_whole(spark):
+    eligible = _eligible(spark, 200, ("r1",))
+    pools = qs.target_pools(eligible)
+    assert pools.count() == 200 * 199 and pools.distinct().count() == 200 * 199
+    assert {tuple(r) for r in qs.target_pools(eligible, part=7).collect()} == {tuple(r) for r in pools.collect()}
+
+
 def test_small_pools_are_skipped(spark):
     eligible = _eligible(spark, 4)
     settings = Questions()
