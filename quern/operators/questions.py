@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import sha1
+from heapq import nsmallest
+from math import comb
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -103,29 +109,57 @@ def stem_schedule(stems: DataFrame, settings: Questions | None = None) -> DataFr
     return base.unionByName(extra.withColumn("place", draw(settings.seed, F.col("stem_id"), F.col("copy"))))
 
 
+def _attempted_sets(pool: list[str], wanted: int, settings: Questions, stem_id: str) -> Iterator[list[str]]:
+    """Fresh sets of a stem's slots in order: a slot draws until its set is new, or it has used all its attempts."""
+    k, seen, attempt = settings.target_count, set(), 0
+    start = f"{settings.seed}\0{stem_id}\0"
+    for _ in range(wanted):
+        for _ in range(settings.max_sampling_attempts_per_question):
+            prefix = sha1(f"{start}{attempt}\0".encode())
+            attempt += 1
+
+            def place(target: str, prefix=prefix) -> tuple[str, str]:
+                h = prefix.copy()
+                h.update(target.encode())
+                return h.hexdigest(), target
+
+            chosen = nsmallest(k, pool, key=place)
+            if (key := frozenset(chosen)) not in seen:
+                seen.add(key)
+                yield chosen
+                break
+        if len(seen) == comb(len(pool), k):  # no later draw can be new
+            return
+
+
 def sampled_targets(schedule: DataFrame, pools: DataFrame, settings: Questions | None = None) -> DataFrame:
     """(stem_id, occurrence, slot, target_id): for each slot of the schedule, target_count targets in display order.
 
-    Attempt a of a slot takes the first targets in the order of hash(seed, stem, slot, a); sets already used for the stem
-    are passed over, so each set occurs once for a stem. Slots without a new set, and stems whose pool is too small, have none.
+    Attempt a of a stem takes the first targets in the order of hash(seed, stem, a, target); sets already used for the stem
+    are passed over, so each set occurs once for a stem. Each slot has max_sampling_attempts_per_question attempts of its own,
+    which follow those of the slot before. Slots without a new set, and stems whose pool is too small, have none.
     """
     settings = settings or Questions()
     k = settings.target_count
     sized = pools.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("stem_id"))).where(F.col("n") >= k).drop("n")
-    slots = schedule.withColumn("slot_no", F.row_number().over(Window.partitionBy("stem_id").orderBy("place", "copy")) - 1)
-    most = settings.questions_per_stem if settings.total_questions is None else None
-    attempts = 1 if most == 1 else settings.max_sampling_attempts_per_question
-    # attempts are enumerated for stems asked more than once, and only until each slot has had a chance
-    asked = slots.groupBy("stem_id").agg(F.count(F.lit(1)).alias("wanted"))
-    tries = asked.select("stem_id", "wanted", F.explode(F.sequence(F.lit(0), F.least(F.when(F.col("wanted") == 1, 0).otherwise(F.col("wanted") * 4 + 8), F.lit(attempts - 1)))).alias("attempt"))
-    drawn = tries.join(sized, "stem_id").withColumn("h", draw(settings.seed, F.col("stem_id"), F.col("attempt"), F.col("target_id")))
-    order = Window.partitionBy("stem_id", "attempt").orderBy("h", "target_id")
-    chosen = drawn.withColumn("slot", F.row_number().over(order) - 1).where(F.col("slot") < k)
-    sets = chosen.groupBy("stem_id", "wanted", "attempt").agg(F.array_sort(F.collect_list(F.struct("slot", "target_id"))).alias("ordered"))
-    key = F.array_join(F.array_sort(F.transform("ordered", lambda t: t["target_id"])), "\0")
-    fresh = sets.withColumn("key", key).withColumn("n", F.row_number().over(Window.partitionBy("stem_id", "key").orderBy("attempt"))).where("n = 1")
-    numbered = fresh.withColumn("occurrence", F.row_number().over(Window.partitionBy("stem_id").orderBy("attempt")) - 1).where("occurrence < wanted")
-    return numbered.select("stem_id", "occurrence", F.inline("ordered"))
+    asked = schedule.groupBy("stem_id").agg(F.count(F.lit(1)).cast("int").alias("wanted"))
+    # the first attempt of a stem is always new: stems asked once take it without leaving the plan
+    once = asked.where("wanted = 1").join(sized, "stem_id").withColumn("h", draw(settings.seed, F.col("stem_id"), F.lit(0), F.col("target_id")))
+    order = Window.partitionBy("stem_id").orderBy("h", "target_id")
+    first = once.withColumn("slot", F.row_number().over(order) - 1).where(F.col("slot") < k).select("stem_id", F.lit(0).alias("occurrence"), "slot", "target_id")
+    if settings.questions_per_stem == 1 and settings.total_questions is None:
+        return first
+
+    def attempts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for stem_id, wanted, pool in zip(*batch.columns):
+                sets = _attempted_sets(pool.as_py(), wanted.as_py(), settings, stem_id.as_py())
+                rows = [(stem_id.as_py(), i, j, t) for i, chosen in enumerate(sets) for j, t in enumerate(chosen)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.string()))], names=["stem_id", "occurrence", "slot", "target_id"])
+
+    several = sized.groupBy("stem_id").agg(F.collect_list("target_id").alias("pool")).join(asked.where("wanted > 1"), "stem_id").select("stem_id", "wanted", "pool")
+    return first.unionByName(several.mapInArrow(attempts, "stem_id string, occurrence int, slot int, target_id string"))
 
 
 def question_ids(sampled: DataFrame) -> DataFrame:

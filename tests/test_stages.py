@@ -160,6 +160,19 @@ def test_small_pools_are_skipped(spark):
     assert qs.sampled_targets(qs.stem_schedule(eligible, settings), qs.target_pools(eligible), settings).count() == 0
 
 
+def test_each_slot_has_its_own_attempts(spark):
+    made = lambda n, wanted, **more: qs.sampled_targets(qs.stem_schedule(e := _eligible(spark, n), s := Questions(questions_per_stem=wanted, **more)), qs.target_pools(e), s).groupBy("stem_id", "occurrence").agg(F.array_sort(F.collect_list("target_id")).alias("s")).groupBy("stem_id").agg(F.count_distinct("s").alias("n"), F.max("occurrence").alias("last")).collect()
+    assert [(r["n"], r["last"]) for r in made(11, 150)] == [(150, 149)] * 11
+    # the first question is the same however many are asked
+    e, pools = _eligible(spark, 7), qs.target_pools(_eligible(spark, 7))
+    first = lambda s: {tuple(r) for r in qs.sampled_targets(qs.stem_schedule(e, s), pools, s).where("occurrence = 0").collect()}
+    assert first(Questions(questions_per_stem=3)) == first(Questions())
+    # pools of 5 have 5 sets: slots beyond them stay empty
+    assert [(r["n"], r["last"]) for r in made(6, 9)] == [(5, 4)] * 6
+    # with one attempt for each slot, a slot whose set is known stays empty
+    assert all(1 < r["n"] <= 5 for r in made(6, 9, max_sampling_attempts_per_question=1))
+
+
 def test_total_questions(spark):
     eligible = _eligible(spark, 6)
     assert qs.stem_schedule(eligible, Questions(total_questions=4)).count() == 4
