@@ -615,6 +615,59 @@ def question_answers(spark, d):
     return out.select("stem_id", "measure", F.col("answer").cast("bigint").alias("answer"), F.array_join(F.transform("tied", lambda i: i.cast("string")), ",").alias("ties"), "answer_pair_id")
 
 
+def s_words(x: str) -> str:
+    return f"trim(regexp_replace({s_fold(x)}, '[ :_]+', ' ', 'g'))"
+
+
+def _words(c):
+    return F.trim(F.regexp_replace(X.casefold(c), "[ :_]+", " "))
+
+
+def mentioned_vectors(pairs: DataFrame, cache: DataFrame, model: str = "concept-embed-b") -> DataFrame:
+    """(pair_id, vectors): every usable cached vector of a model whose text names a concept of the pair in whole words.
+
+    The caches of the tables hold concepts with relations, no evidence sentences. Texts meet concepts in an equi-join of the
+    runs of their words, so that all vectors take part, however many there are.
+    """
+    usable = cache.where(F.col("model") == model).where("text_value IS NOT NULL AND size(vector) = dimensions AND NOT exists(vector, x -> x IS NULL OR isnan(x) OR x = float('Infinity') OR x = float('-Infinity'))")
+    words = usable.select("cache_key", "vector", F.split(_words(F.col("text_value")), " ").alias("w"))
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.transform(F.sequence(F.lit(1), F.size("w") - i + 1), lambda n: F.array_join(F.slice(F.col("w"), i, n), " "))))
+    named = pairs.select("pair_id", F.explode(F.array("concept_1", "concept_2")).alias("c")).select("pair_id", _words(F.col("c")).alias("run")).where("run <> ''")
+    met = named.join(words.select("cache_key", F.explode(F.array_distinct(runs)).alias("run")), "run").select("pair_id", "cache_key").distinct()
+    return met.join(usable.select("cache_key", "vector"), "cache_key").groupBy("pair_id").agg(F.collect_list("vector").alias("vectors"))
+
+
+def _digest_vectors(texts: DataFrame) -> DataFrame:
+    """(text_value, vector): a stand-in embedder of 32 numbers, the hex digits of a text's digest about their middle."""
+    digits = F.expr("transform(sequence(1, 32), i -> instr('0123456789abcdef', substring(md5(encode(text_value, 'utf-8')), i, 1)) - 8.5D)")
+    return texts.distinct().withColumn("vector", digits)
+
+
+S_WHOLE = f"""{S_QUESTIONS},
+    named AS (SELECT pair_id, {s_words('c')} AS run FROM (SELECT pair_id, unnest([concept_1, concept_2]) AS c FROM eligible)),
+    cached AS (SELECT cache_key, ' ' || {s_words('text_value')} || ' ' AS words, list_transform(vector, lambda x: CAST(x AS DOUBLE)) AS v FROM embedding_cache WHERE model = 'concept-embed-b' AND text_value IS NOT NULL AND len(vector) = dimensions AND len(list_filter(vector, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    ctx AS (SELECT pair_id, cache_key, any_value(v) AS v FROM named JOIN cached ON run <> '' AND contains(words, ' ' || run || ' ') GROUP BY 1, 2),
+    texts AS (SELECT pair_id, md5(concept_1 || ' : ' || concept_2) AS p, md5(concept_1 || ' : ' || concept_2 || ' | base relation: ' || base_relation) AS s FROM eligible),
+    digits AS (SELECT pair_id, list_transform(range(1, 33), lambda i: CAST(instr('0123456789abcdef', substr(p, i, 1)) - 8.5 AS DOUBLE)) AS p, list_transform(range(1, 33), lambda i: CAST(instr('0123456789abcdef', substr(s, i, 1)) - 8.5 AS DOUBLE)) AS s FROM texts),
+    long AS (SELECT stem_id, slot, target_id, 'ranked_relational_overlap' AS measure, round(coalesce(sum(s.score * t.score), 0.0), 6) AS value FROM sampled JOIN scores s ON s.pair_id = stem_id LEFT JOIN scores t ON t.pair_id = target_id AND t.relation = s.relation GROUP BY 1, 2, 3
+        UNION ALL SELECT stem_id, slot, target_id, 'context_embedding_similarity', round(coalesce(avg(c) FILTER (WHERE c > 0.05), 0.0), 6) FROM (SELECT stem_id, slot, target_id, CASE WHEN a.v IS NOT NULL AND b.v IS NOT NULL THEN {s_cos('a.v', 'b.v')} END AS c FROM sampled LEFT JOIN ctx a ON a.pair_id = stem_id LEFT JOIN ctx b ON b.pair_id = target_id) GROUP BY 1, 2, 3
+        UNION ALL SELECT stem_id, slot, target_id, 'prototypicality', round({s_cos('a.s', 'b.p')}, 6) FROM sampled JOIN digits a ON a.pair_id = stem_id JOIN digits b ON b.pair_id = target_id),
+    top AS (SELECT *, max(value) OVER (PARTITION BY stem_id, measure) AS best FROM long)"""
+
+
+@query(f"{S_WHOLE} SELECT stem_id, measure, min(slot) AS answer, string_agg(CAST(slot AS VARCHAR), ',' ORDER BY slot) AS ties, min_by(target_id, slot) AS answer_pair_id, max(best) AS best FROM top WHERE abs(value - best) <= 1e-10 GROUP BY 1, 2")
+def question_answers_whole(spark, d):
+    """All three measures; contexts from every usable vector, where question_answers takes three of a key prefix."""
+    eligible = _eligible(spark, d)
+    texts = lambda c: eligible.select(c.alias("text_value"))
+    vectors = _digest_vectors(texts(qs.stem_text(F.col("concept_1"), F.col("concept_2"), F.col("base_relation"))).unionByName(texts(qs.pair_text(F.col("concept_1"), F.col("concept_2")))))
+    scored = qs.relation_overlaps(_sampled(spark, d, eligible), eligible)
+    scored = qs.context_scores(scored, mentioned_vectors(eligible, table(spark, d, "embedding_cache")), threshold=0.05)
+    scored = qs.prototype_scores(scored, eligible, vectors)
+    out = qs.answers(scored.withColumns({m: F.round(m, 6) for m in qs.MEASURES}))
+    return out.select("stem_id", "measure", F.col("answer").cast("bigint").alias("answer"), F.array_join(F.transform("tied", lambda i: i.cast("string")), ",").alias("ties"), "answer_pair_id", F.array_max("values").alias("best"))
+
+
 @query("""SELECT question_id, measure, CAST(min(i) AS INTEGER) AS answer, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS ties FROM (
     SELECT *, max(v) OVER (PARTITION BY question_id, measure) AS best FROM (
         SELECT question_id, measure, i, v FROM (SELECT question_id, measure, unnest(vals) AS v, unnest(range(len(vals))) AS i FROM (
