@@ -559,6 +559,13 @@ def schedule_truncated(spark, d):
     return qs.stem_schedule(_eligible(spark, d), Questions(target_count=2, total_questions=3))
 
 
+@query()
+def schedule_extended(spark, d):
+    """Three questions for each two stems: the rest are drawn with replacement."""
+    eligible = _eligible(spark, d)
+    return qs.stem_schedule(eligible, Questions(target_count=2, total_questions=eligible.count() * 3 // 2))
+
+
 @query(f"{S_ELIGIBLE}, {S_POOL} SELECT pair_id FROM eligible e WHERE EXISTS (SELECT 1 FROM pool p WHERE p.stem_id = e.pair_id)")
 def stems_with_overlap(spark, d):
     eligible = _eligible(spark, d)
