@@ -168,7 +168,7 @@ def sentence_split(spark, d):
 
 @query(f"SELECT DISTINCT page_title, 'https://en.wikipedia.org/wiki/' || replace(url_encode(replace(page_title, ' ', '_')), '%2F', '/') AS url FROM documents WHERE page_title IS NOT NULL AND page_title NOT LIKE '%+%'")
 def page_urls(spark, d):
-    titles = table(spark, d, "documents").where("page_title IS NOT NULL AND page_title NOT LIKE '%+%'").select("page_title").distinct()
+    titles = table(spark, d, "documents").where("page_title IS NOT NULL").select("page_title").distinct()
     return titles.select("page_title", X.page_url(F.col("page_title")).alias("url"))
 
 
