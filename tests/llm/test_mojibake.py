@@ -62,8 +62,54 @@ def test_round_trip_of_code_pages(page):
 
 
 def test_open_letters_of_lost_bytes():
-    shown = "caf" + "Ã�"
-    assert M.as_utf8(shown, "cp1252") == ("caf�", 1)
+    shown = "caf" + "√�"
+    text, sequences = M.as_utf8(shown, "mac_roman")
+    assert text[:3] == "caf" and sequences == 0 and len(text) == 4
+    assert M.may_be("é", text[3]) and M.may_be("Ó", text[3]) and not M.may_be("ж", text[3]) and not M.may_be("°", text[3])
+    assert M.as_utf8("�©t", "cp1252") is None  # that page has all first bytes
+    first_lost, _ = M.as_utf8("�®t", "cp1253")  # the second byte tells the place within each block of 64
+    assert M.may_be("Ү", first_lost[0]) and not M.may_be("Ұ", first_lost[0])
+    assert M.open_letter([0xC3, None], "cp1251") == "Ø"  # that page lacks one byte only
+    assert M.open_letter([0xE3, None, 0x9F], "cp1252") == "た" and M.open_letter([0xE2, 0x80, None], "cp1252") == "”"
+    han = M.open_letter([0xE6, None, 0xA8], "cp1252")
+    assert [b for b in range(0x80, 0xC0) if M.may_be(bytes([0xE6, b, 0xA8]).decode(), han)] == [0x81, 0x8D, 0x8F, 0x90, 0x9D]
+    for data in ([0xC3, None], [None, 0xA9], [0xE6, None, None], [None, 0xBC, 0xA2], [0xE6, 0xBC, None]):
+        for letter in ("é", "漢", "ж"):
+            b = letter.encode()
+            assert M.may_be(letter, M.open_letter(data)) == (len(b) == len(data) and all(x is None or x == y for x, y in zip(data, b)))
+
+
+def test_lost_letters_keep_every_known_letter(spark):
+    clean = ["Он сказал: привет всем. Были другие города.", "Το γεφύρι είναι παλιό και μεγάλο.", "川幅は広く、村を隔てている。", "La señora vivió en la región. PRÉFET ÉLU", "Другие вести пришли."]
+    lost = {
+        701: ("Он сказал: п�ивет всем", "Он сказал: привет всем"),
+        702: ("Το γεφ�ρι είναι π�λι�", "Το γεφύρι είναι παλιό"),
+        703: ("川幅�広く、村を隔て�いる。", "川幅は広く、村を隔てている。"),
+        704: ("La se�ora vivi� en la regi�n. PR�FET", "La señora vivió en la región. PRÉFET"),
+        705: ("Он п�ишёл и ж�г", "Он п�ишёл и ж�г"),  # no word of the corpus fits: the letters stay open
+        706: ("� alone", "� alone"),
+        707: ("П�ИВЕТ", "ПРИВЕТ"),
+    }
+    docs = frame(spark, [*((i * 10 + k, t) for i in range(12) for k, t in enumerate(clean)), *((i, t) for i, (t, _) in lost.items())])
+    restored = {r["doc_id"]: r["restored"] for r in M.restored_documents(docs).collect()}
+    assert restored == {i: t for i, (_, t) in lost.items()}
+    assert {r[0] for r in M.garbled_documents(docs).collect()} == set(lost)
+
+
+def test_lost_bytes_within_garbled_text(spark):
+    table = {b: bytes([b]).decode("cp1252", "replace") for b in range(256)}
+    shown = "".join(table[b] for b in CLEAN["ru"].encode())
+    assert "�" in shown
+    docs = frame(spark, [*corpus(), (901, shown), (902, shown + " п�ивет")])
+    restored = {r["doc_id"]: r["restored"] for r in M.restored_documents(docs).collect()}
+    assert restored[901] == CLEAN["ru"]
+    assert restored[902] == CLEAN["ru"] + " п�ивет"
+
+
+def test_repeated_ids_are_restored_each(spark):
+    docs = frame(spark, [*corpus(), (901, DAMAGE[902]), (901, DAMAGE[903]), (901, CLEAN["el"]), (901, DAMAGE[902])])
+    assert [r[0] for r in M.garbled_documents(docs).collect()] == [901]
+    assert sorted(r["restored"] for r in M.restored_documents(docs).collect()) == sorted([CLEAN["fr"], CLEAN["ru"], CLEAN["fr"]])
 
 
 def test_best_path_changes_reading_only_for_a_gain():
