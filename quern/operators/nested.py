@@ -1,13 +1,16 @@
 """Problem 5: deeply nested records turned into flat child tables that keep their parent and their place.
 
-Nested ``transform`` calls over VARIANT values attach the line, the ancestor keys and the indices; ``flatten`` combines the
-arrays and one ``inline`` for each target table emits the rows. Everything is a narrow projection: no shuffle, no Python.
+A higher-order SQL projection over VARIANT values: ``aggregate`` opens one layer of wrappers after the other until none is
+left and takes the lists of each record once; nested ``transform`` calls attach the record's number, the ancestor keys and
+the indices; ``flatten`` combines the arrays and one ``inline`` for each target table emits the rows. Everything is a
+narrow projection: no shuffle, no Python.
 
 Defined results: a payload that is null, empty or not valid JSON gives no row; a record is found inside objects, lists and
-quoted JSON, up to UNWRAP_LEVELS wrappers; null children give no row but keep their place; anything else in place of a
-list (an object, a text, a number) is a list of one; scores may be an object of lists or a list of {measure, values};
-only numbers are scores; a line that holds the same child twice gives it once; lines are never merged; columns other than
-the key and the payload are ignored.
+quoted JSON, however many of them are around it; a payload may hold several records, which the flat tables number (record)
+by the number of their wrappers, then by their place; null children give no row but keep their place; anything else in
+place of a list (an object, a text, a number) is a list of one; scores may be an object of lists or a list of {measure,
+values}; only numbers are scores; child_index names no record, so that equal children of several records are one row
+there; lines are never merged; columns other than the key and the payload are ignored.
 """
 
 from __future__ import annotations
@@ -15,31 +18,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The lists that make an object a record.
+#: The lists that make an object a record, and the types that are numbers.
 RECORD_LISTS = ("evidence_sentences", "relations", "blocks", "scores")
-#: Wrappers (objects, lists, quoted JSON) that are opened around a record.
-UNWRAP_LEVELS = 8
+#: Layers that are opened before the loop is given as many rounds as the payload has characters.
+FEW_LAYERS = 6
 NUMBER_TYPES = "('TINYINT','SMALLINT','INT','BIGINT','FLOAT','DOUBLE')"
 
-
-def _has_record_list(v: str) -> str:
-    return "(" + " OR ".join(f"try_variant_get({v}, '$.{k}', 'variant') IS NOT NULL" for k in RECORD_LISTS) + ")"
-
-
-def _open(v: str) -> str:
-    """SQL of the values directly inside one wrapper; a record stays as it is."""
-    return f"""CASE
-        WHEN {_has_record_list(v)} THEN array({v})
-        WHEN schema_of_variant({v}) = 'STRING' THEN array(try_parse_json(try_variant_get({v}, '$', 'string')))
-        WHEN schema_of_variant({v}) LIKE 'ARRAY<%' THEN try_variant_get({v}, '$', 'array<variant>')
-        WHEN schema_of_variant({v}) LIKE 'OBJECT<%' THEN map_values(try_variant_get({v}, '$', 'map<string,variant>'))
-        ELSE CAST(array() AS array<variant>) END"""
+_LISTS = ", ".join(f"'{k}', try_variant_get(v, '$.{k}', 'variant')" for k in RECORD_LISTS)
+_RECORDS = "array<struct<v:variant," + ",".join(f"{k}:variant" for k in RECORD_LISTS) + ">>"
+_IS_RECORD = "(" + " OR ".join(f"l.{k} IS NOT NULL" for k in RECORD_LISTS) + ")"
+#: The values directly inside a wrapper: items of a list, values of an object, quoted JSON.
+_INSIDE = """coalesce(try_variant_get(l.v, '$', 'array<variant>'), map_values(try_variant_get(l.v, '$', 'map<string,variant>')),
+    CASE WHEN schema_of_variant(l.v) = 'STRING' THEN array(try_parse_json(try_variant_get(l.v, '$', 'string'))) ELSE CAST(array() AS array<variant>) END)"""
+#: One layer of wrappers: values that are records are kept, the others are opened.
+_LAYER = f"""element_at(transform(array(transform(filter(acc.open, v -> v IS NOT NULL), v -> named_struct('v', v, {_LISTS}))), ls -> named_struct(
+    'records', concat(acc.records, filter(ls, l -> {_IS_RECORD})),
+    'open', flatten(transform(filter(ls, l -> NOT {_IS_RECORD}), l -> {_INSIDE})))), 1)"""
 
 
 def _listed(v: str) -> str:
     """SQL of a variant as a list: null is empty, anything but a list is a list of one."""
-    return f"""CASE
-        WHEN {v} IS NULL OR is_variant_null({v}) THEN CAST(array() AS array<variant>)
+    return f"""CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN CAST(array() AS array<variant>)
         ELSE coalesce(try_variant_get({v}, '$', 'array<variant>'), array({v})) END"""
 
 
@@ -47,89 +46,84 @@ def _present(v: str) -> str:
     return f"({v} IS NOT NULL AND NOT is_variant_null({v}))"
 
 
-def unwrap(lines: DataFrame, key: str = "line_no", payload: str = "payload", levels: int = UNWRAP_LEVELS) -> DataFrame:
-    """(key, records array<variant>): the records inside each payload."""
-    out = lines.select(F.col(key).alias("_key"), F.array(F.expr(f"try_parse_json(CAST(`{payload}` AS string))")).alias("_found"))
-    for _ in range(levels):
-        # one reference to the column for each level, or the collapsed projection grows with a power of the levels
-        out = out.select("_key", F.expr(f"flatten(transform(filter(_found, v -> v IS NOT NULL), v -> {_open('v')}))").alias("_found"))
-    return out.select(F.col("_key").alias(key), F.expr(f"filter(_found, v -> v IS NOT NULL AND {_has_record_list('v')})").alias("records"))
+def unwrap(lines: DataFrame, key: str = "line_no", payload: str = "payload") -> DataFrame:
+    """(key, records array<struct>): the records inside each payload with their four lists."""
+    text = f"CAST(`{payload}` AS string)"
+    start = f"named_struct('records', CAST(array() AS {_RECORDS}), 'open', array(try_parse_json({text})))"
+    once = lambda o: f"transform(array({o}), acc -> {_LAYER})"
+    loop = lambda o, layers: f"aggregate(sequence(1, {layers}), {o}, (acc, i) -> CASE WHEN size(acc.open) = 0 THEN acc ELSE {_LAYER} END)"
+    # most records have few wrappers; no payload has more layers than characters, and a layer that opens nothing is passed over
+    deep = f"CASE WHEN size(p.open) = 0 THEN p.records ELSE {loop('p', f'length({text})')}.records END"
+    wrapped = f"element_at(transform(array({loop('o', FEW_LAYERS)}), p -> {deep}), 1)"
+    found = f"element_at(transform({once(start)}, o -> CASE WHEN size(o.open) = 0 THEN o.records ELSE {wrapped} END), 1)"
+    return lines.select(F.col(key), F.expr(found).alias("records"))
 
 
 def _children(list_name: str) -> str:
-    """SQL of all items of one list of all records, with their place."""
-    items = _listed(f"variant_get(r, '$.{list_name}', 'variant')")
-    return f"flatten(transform(records, r -> transform({items}, (x, i) -> struct(CAST(i AS bigint) AS pos, x AS item))))"
-
-
-def _block_relations() -> str:
-    blocks = _listed("variant_get(r, '$.blocks', 'variant')")
-    labels = _listed("try_variant_get(b, '$.relations', 'variant')")
-    return f"""flatten(flatten(transform(records, r -> transform({blocks}, (b, i) ->
-        transform({labels}, (x, j) -> struct(CAST(i AS string) AS parent_key, CAST(j AS bigint) AS pos, x AS item))))))"""
+    """SQL of the non-null items of one list of all records, with their record and place."""
+    places = f"transform({_listed(f'r.{list_name}')}, (x, i) -> named_struct('record', CAST(n AS bigint), 'pos', CAST(i AS bigint), 'item', x))"
+    return f"flatten(transform(records, (r, n) -> filter({places}, c -> {_present('c.item')})))"
 
 
-def _scores() -> str:
-    """A list of {measure, values} is brought to the form of an object of lists."""
-    scores = "variant_get(r, '$.scores', 'variant')"
-    of_object = f"transform(map_entries(coalesce(try_variant_get({scores}, '$', 'map<string,variant>'), CAST(map() AS map<string,variant>))), e -> struct(e.key AS measure, e.value AS vals))"
-    of_list = f"transform(filter({_listed(scores)}, m -> m IS NOT NULL), m -> struct(try_variant_get(m, '$.measure', 'string') AS measure, try_variant_get(m, '$.values', 'variant') AS vals))"
-    named = f"try_variant_get({scores}, '$.measure', 'string') IS NOT NULL AND try_variant_get({scores}, '$.values', 'variant') IS NOT NULL"
-    pairs = f"CASE WHEN {scores} IS NULL THEN {of_list} WHEN schema_of_variant({scores}) LIKE 'OBJECT<%' AND NOT ({named}) THEN {of_object} ELSE {of_list} END"
-    return f"""flatten(flatten(transform(records, r -> transform({pairs}, p ->
-        transform({_listed('p.vals')}, (x, i) -> struct(coalesce(p.measure, '') AS parent_key, CAST(i AS bigint) AS pos, x AS item))))))"""
+#: Labels of the blocks of all records; blocks is a column of _children.
+_BLOCK_RELATIONS = f"""flatten(transform(blocks, b -> filter(transform({_listed("try_variant_get(b.item, '$.relations', 'variant')")},
+    (x, i) -> named_struct('record', b.record, 'block_pos', b.pos, 'pos', CAST(i AS bigint), 'item', x)), c -> {_present('c.item')})))"""
+#: An object of lists, or a list of {measure, values} brought to that form.
+_OF_OBJECT = "transform(map_entries(try_variant_get(r.scores, '$', 'map<string,variant>')), e -> named_struct('measure', e.key, 'vals', e.value))"
+_OF_LIST = f"transform(filter({_listed('r.scores')}, m -> m IS NOT NULL), m -> named_struct('measure', try_variant_get(m, '$.measure', 'string'), 'vals', try_variant_get(m, '$.values', 'variant')))"
+_NAMED = "(try_variant_get(r.scores, '$.measure', 'string') IS NOT NULL AND try_variant_get(r.scores, '$.values', 'variant') IS NOT NULL)"
+_MEASURES = f"CASE WHEN {_NAMED} THEN {_OF_LIST} ELSE coalesce({_OF_OBJECT}, {_OF_LIST}) END"
+_IS_NUMBER = f"({_present('c.item')} AND (schema_of_variant(c.item) IN {NUMBER_TYPES} OR schema_of_variant(c.item) LIKE 'DECIMAL%'))"
+_SCORES = f"""flatten(flatten(transform(records, (r, n) -> transform(CASE WHEN {_present('r.scores')} THEN {_MEASURES} ELSE array() END, p -> filter(transform({_listed('p.vals')},
+    (x, i) -> named_struct('record', CAST(n AS bigint), 'measure', coalesce(p.measure, ''), 'pos', CAST(i AS bigint), 'item', x)), c -> {_IS_NUMBER})))))"""
 
 
 def child_index(lines: DataFrame, key: str = "line_no", payload: str = "payload") -> DataFrame:
     """(key, child, parent_key, pos): the place of each child of every kind, in one pass."""
     records = unwrap(lines, key, payload)
+    lists = records.select(F.col(key), "records", F.expr(_children("blocks")).alias("blocks"))
 
-    def keyed(items: str, child: str, parent: str, keep: str) -> str:
-        return f"transform(filter({items}, c -> {keep}), c -> struct('{child}' AS child, {parent} AS parent_key, c.pos AS pos))"
+    def keyed(items: str, child: str, parent: str) -> str:
+        return f"transform({items}, c -> named_struct('child', '{child}', 'parent_key', {parent}, 'pos', c.pos))"
 
-    there = _present("c.item")
     parts = [
-        keyed(_children("evidence_sentences"), "evidence_sentence", "''", there),
-        keyed(_children("relations"), "ranked_relation", "''", there),
-        keyed(_children("blocks"), "block", "''", there),
-        keyed(_block_relations(), "block_relation", "c.parent_key", there),
-        keyed(_scores(), "score", "c.parent_key", f"{there} AND (schema_of_variant(c.item) IN {NUMBER_TYPES} OR schema_of_variant(c.item) LIKE 'DECIMAL%')"),
+        keyed(_children("evidence_sentences"), "evidence_sentence", "''"), keyed(_children("relations"), "ranked_relation", "''"), keyed("blocks", "block", "''"),
+        keyed(_BLOCK_RELATIONS, "block_relation", "CAST(c.block_pos AS string)"), f"array_distinct({keyed(_SCORES, 'score', 'c.measure')})",
     ]
-    found = records.select(F.col(key), F.expr(f"array_distinct(concat({', '.join(parts)}))").alias("_rows"))
-    return found.select(F.col(key), F.inline("_rows"))
+    rows = lists.select(F.col(key), F.size("records").alias("n"), F.expr(f"concat({', '.join(parts)})").alias("rows"))
+    return rows.select(F.col(key), F.expr("inline(CASE WHEN n > 1 THEN array_distinct(rows) ELSE rows END)"))
 
 
 def evidence_sentences(lines: DataFrame, key: str = "line_no", payload: str = "payload") -> DataFrame:
-    """(key, pos, sentence_id, text, page_title, page_url)."""
-    fields = ("sentence_id bigint", "text string", "page_title string", "page_url string")
-    return _flat(lines, key, payload, _children("evidence_sentences"), fields)
+    """(key, record, pos, sentence_id, text, page_title, page_url)."""
+    return _flat(lines, key, payload, "evidence_sentences", ("sentence_id bigint", "text string", "page_title string", "page_url string"))
 
 
 def ranked_relations(lines: DataFrame, key: str = "line_no", payload: str = "payload") -> DataFrame:
-    """(key, pos, relation, appearances, most_count, least_count, p_most, p_least, score, rank)."""
+    """(key, record, pos, relation, appearances, most_count, least_count, p_most, p_least, score, rank)."""
     fields = ("relation string", "appearances int", "most_count int", "least_count int", "p_most double", "p_least double", "score double", "rank int")
-    return _flat(lines, key, payload, _children("relations"), fields)
+    return _flat(lines, key, payload, "relations", fields)
 
 
 def ranking_blocks(lines: DataFrame, key: str = "line_no", payload: str = "payload") -> DataFrame:
-    """(key, pos, block_id, most_relevant, least_relevant, rationale)."""
-    fields = ("block_id bigint", "most_relevant string", "least_relevant string", "rationale string")
-    return _flat(lines, key, payload, _children("blocks"), fields)
+    """(key, record, pos, block_id, most_relevant, least_relevant, rationale)."""
+    return _flat(lines, key, payload, "blocks", ("block_id bigint", "most_relevant string", "least_relevant string", "rationale string"))
 
 
 def block_relations(lines: DataFrame, key: str = "line_no", payload: str = "payload") -> DataFrame:
-    """(key, block_pos, pos, relation)."""
-    rows = f"transform(filter({_block_relations()}, c -> {_present('c.item')}), c -> struct(CAST(c.parent_key AS bigint) AS block_pos, c.pos AS pos, try_variant_get(c.item, '$', 'string') AS relation))"
-    return unwrap(lines, key, payload).select(F.col(key), F.expr(f"inline(array_distinct({rows}))"))
+    """(key, record, block_pos, pos, relation)."""
+    blocks = unwrap(lines, key, payload).select(F.col(key), F.expr(_children("blocks")).alias("blocks"))
+    rows = f"transform({_BLOCK_RELATIONS}, c -> named_struct('record', c.record, 'block_pos', c.block_pos, 'pos', c.pos, 'relation', try_variant_get(c.item, '$', 'string')))"
+    return blocks.select(F.col(key), F.expr(f"inline({rows})"))
 
 
 def scores(lines: DataFrame, key: str = "line_no", payload: str = "payload") -> DataFrame:
-    """(key, measure, pos, score)."""
-    rows = f"transform(filter({_scores()}, c -> {_present('c.item')}), c -> struct(c.parent_key AS measure, c.pos AS pos, try_variant_get(c.item, '$', 'double') AS score))"
-    return unwrap(lines, key, payload).select(F.col(key), F.expr(f"inline(array_distinct({rows}))"))
+    """(key, record, measure, pos, score); a measure that a record names twice gives its rows twice."""
+    rows = f"transform({_SCORES}, c -> named_struct('record', c.record, 'measure', c.measure, 'pos', c.pos, 'score', try_variant_get(c.item, '$', 'double')))"
+    return unwrap(lines, key, payload).select(F.col(key), F.expr(f"inline({rows})"))
 
 
-def _flat(lines: DataFrame, key: str, payload: str, items: str, fields: tuple[str, ...]) -> DataFrame:
-    cols = ", ".join(f"try_variant_get(c.item, '$.{f.split()[0]}', '{f.split()[1]}') AS {f.split()[0]}" for f in fields)
-    rows = f"transform(filter({items}, c -> {_present('c.item')}), c -> struct(c.pos AS pos, {cols}))"
-    return unwrap(lines, key, payload).select(F.col(key), F.expr(f"inline(array_distinct({rows}))"))
+def _flat(lines: DataFrame, key: str, payload: str, list_name: str, fields: tuple[str, ...]) -> DataFrame:
+    cols = ", ".join(f"'{f.split()[0]}', try_variant_get(c.item, '$.{f.split()[0]}', '{f.split()[1]}')" for f in fields)
+    rows = f"transform({_children(list_name)}, c -> named_struct('record', c.record, 'pos', c.pos, {cols}))"
+    return unwrap(lines, key, payload).select(F.col(key), F.expr(f"inline({rows})"))

@@ -36,10 +36,30 @@ def test_empty_table_and_tables(spark):
     assert nested.ranked_relations(df).first()["score"] == 1.5
     assert sorted(r["block_id"] or 0 for r in nested.ranking_blocks(df).collect()) == [0, 9]
     assert {(r["block_pos"], r["pos"], r["relation"]) for r in nested.block_relations(df).collect()} == {(1, 0, "a"), (1, 2, "b"), (2, 0, "c")}
-    assert {(r["measure"], r["pos"], r["score"]) for r in nested.scores(df).collect() if r["score"] is not None} == {("m", 0, 1.0), ("m", 2, 2.5), ("k", 0, 3.0)}
+    assert {(r["measure"], r["pos"], r["score"]) for r in nested.scores(df).collect()} == {("m", 0, 1.0), ("m", 2, 2.5), ("k", 0, 3.0)}
 
 
 def test_repeated_lines_and_long_payloads(spark):
     long = json.dumps({"evidence_sentences": [{"text": "x" * 200} for _ in range(3000)]})
     df = spark.createDataFrame([(1, long), (2, long)], "line_no bigint, payload string")
     assert nested.child_index(df).count() == 6000
+
+
+def test_many_wrappers(spark):
+    deep = json.dumps(RECORD)
+    for i in range(40):
+        deep = json.dumps({"a": [json.loads(deep)]} if i != 20 else deep)
+    quoted = json.dumps(RECORD)
+    for _ in range(9):
+        quoted = json.dumps({"x": quoted})
+    got = index(spark, deep, quoted)
+    assert got[0] == got[1] == WHOLE
+
+
+def test_records_of_one_line_are_told_apart(spark):
+    two = json.dumps({"a": {"evidence_sentences": [{"text": "one"}], "scores": {"m": [1, "n/a"]}}, "b": [{"evidence_sentences": [{"text": "one"}, {"text": "two"}], "blocks": {"relations": ["x"]}}]})
+    df = spark.createDataFrame([(1, two)], "line_no bigint, payload string")
+    assert [(r["record"], r["pos"], r["text"]) for r in nested.evidence_sentences(df).orderBy("record", "pos").collect()] == [(0, 0, "one"), (1, 0, "one"), (1, 1, "two")]
+    assert [tuple(r)[1:] for r in nested.scores(df).collect()] == [(0, "m", 0, 1.0)]
+    assert [tuple(r)[1:] for r in nested.block_relations(df).collect()] == [(1, 0, 0, "x")]
+    assert len(index(spark, two)[0]) == 5
