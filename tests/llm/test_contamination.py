@@ -63,10 +63,25 @@ def test_brute_force(spark):
     assert found(spark, docs, items) == want
 
 
-def test_blocks_of_items_empty_and_long(spark, monkeypatch):
-    items = [(i, "t", " ".join(passage(30, i)), None) for i in range(5)] + [(9, "t", None, None), (None, "t", "x", None), (10, "t", "short", None)]
-    docs = [(1, " ".join(passage(20_000, 50) + passage(30, 4)), None), (1, " ".join(passage(30, 2)), None)]
+def test_parts_of_items_empty_and_long(spark):
+    opening = passage(70, 99)
+    items = [(i, "t", " ".join((opening if i < 5 else []) + passage(30, i)), None) for i in range(8)] + [(9, "t", None, None), (None, "t", "x", None), (10, "t", "short", None), (6, "t", " ".join(passage(40, 77)), None)]
+    docs = [(1, " ".join(passage(20_000, 50) + passage(30, 4)), None), (1, " ".join(passage(30, 2)), None), (2, " ".join(opening), None), (3, " ".join(passage(40, 77)[5:30]), None), (4, " ".join(passage(30, 6)), None)]
     whole = found(spark, docs, items)
-    monkeypatch.setattr(C, "BLOCK_ITEMS", 2)
-    assert whole == found(spark, docs, items) == {(1, 4), (1, 2)}
+    assert whole == {(1, 4), (1, 2), (3, 6), (4, 6)}
+    d, i = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    for size in (1, 2_000):  # every item, or a few items, in a broadcast of their own
+        assert whole == {tuple(r) for r in C.contained_items(d, i, shard_bytes=size).collect()}
     assert found(spark, [], items) == set() and found(spark, docs, []) == set()
+
+
+def test_openings_are_those_of_enough_texts():
+    texts = [list("abcdefghij") + [str(i)] for i in range(5)] + [list("abcdefghij0") + ["x", "y"], list("zzzzzzzzzz")]
+    assert C.openings(texts) == [10, 10, 10, 10, 10, 10, 0]
+    assert C.openings(texts[:4]) == [0] * 4 and C.openings([]) == []
+
+
+def test_scripts_without_spaces(spark):
+    item = "那座旧灯塔的看守人在第七个冬天把铜钟埋进了葡萄园后面的沙丘里，直到镇上的女教师带着三个学生沿着干涸的河床走了两天，才在一块刻着船锚的石头下面找到了它，并把它送回了教堂。"
+    docs = [(1, "前言。" + item + "结束。", None), (2, item[:44].replace("，", " "), None), (3, item[:16], None), (4, "另一段没有关系的文字，说的是别的地方的事情，与任何题目都没有联系。", None)]
+    assert found(spark, docs, [(5, "t", item, None), (6, "t", " ".join(passage(40, 3)), None)]) == {(1, 5), (2, 5)}
