@@ -47,17 +47,60 @@ def test_ties_repeats_and_one_dimension(spark):
     assert pairs(spark, [("a", "m", None, 1, [2.0], None), ("b", "m", None, 1, [5.0], None), ("c", "m", None, 1, [-1.0], None)]) == {("a", "b")}
 
 
-def test_large_groups_are_split(spark, monkeypatch):
-    x = clustered(1200, 16).astype(np.float32)
-    rows = [(f"k{i:05d}", "m", None, 16, [float(v) for v in row], None) for i, row in enumerate(x)]
-    whole = pairs(spark, rows)
-    monkeypatch.setattr(N, "GROUP_ENTRIES", 100)
-    assert pairs(spark, rows) == whole
+def rows_of(x):
+    return [(f"k{i:05d}", "m", None, x.shape[1], [float(v) for v in row], None) for i, row in enumerate(x)]
+
+
+def test_large_groups_are_split_without_more_copies(spark):
+    x = clustered(4000, 16).astype(np.float32)
+    want = {(f"k{a:05d}", f"k{b:05d}") for a, b in exact(x.astype(np.float64))}
+    frame = spark.createDataFrame(rows_of(x), SCHEMA).selectExpr("cache_key AS key", "model", "dimensions", "vector")
+    batch = frame.toArrow().combine_chunks().to_batches()[0]
+    for size in (1 << 20, 16 * 4 * 250):  # whole groups, groups of about 250 vectors
+        books = N.fit_codebooks(frame, group_bytes=size)
+        assert N.route(batch, books).num_rows <= N.MAX_GROUPS * len(x)
+        got = pairs(spark, rows_of(x), group_bytes=size)
+        assert len(got & want) >= 0.97 * max(len(want), len(got))
+    assert books[("m", 16)]["part_of"] is not None
+
+
+def test_many_equal_vectors_are_not_compared(spark):
+    x = clustered(300, 8).astype(np.float32)
+    x[50:250] = x[7]
+    rows = rows_of(x)
+    want = {(f"k{a:05d}", f"k{b:05d}") for a, b in exact(x.astype(np.float64))}
+    assert pairs(spark, rows + rows[:60]) == want
+    single, surplus = N.without_surplus_copies(spark.createDataFrame(rows, SCHEMA).selectExpr("cache_key AS key", "model", "dimensions", "vector"), 5)
+    assert single.count() == 105 and surplus.count() == 195 * 5
+
+
+def test_near_equal_vectors_in_bounded_memory():
+    import resource
+
+    import pyarrow as pa
+
+    n, dims = 20_000, 64
+    rng = np.random.default_rng(4)
+    x = (np.ones(dims) + 0.01 * rng.normal(size=(n, dims))).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    packed = np.round(x / np.abs(x).max(1)[:, None] * 32767).astype("<i2")
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    table = pa.table({"key": [f"k{i:05d}" for i in range(n)], "is_entry": [True] * n, "c2": pa.array([0] * n, pa.int16()), "cells": pa.array([[0]] * n, pa.list_(pa.int16())), "packed": [row.tobytes() for row in packed]})
+    got = N.answer(table, 5, 0.82)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kilobytes
+    y = packed[:40].astype(np.float64) / np.linalg.norm(packed[:40].astype(np.float64), axis=1)[:, None]
+    z = packed.astype(np.float64) / np.linalg.norm(packed.astype(np.float64), axis=1)[:, None]
+    near = {}
+    for k, t in zip(got.column("key").to_pylist(), got.column("neighbour").to_pylist()):
+        near.setdefault(k, []).append(int(t[1:]))
+    for i, s in enumerate(y @ z.T):
+        s[i] = -1
+        assert np.allclose(np.sort(s[near[f"k{i:05d}"]]), np.sort(s)[-5:], atol=3e-6)
 
 
 def test_traversal_is_in_order_of_the_sums():
     rng = np.random.default_rng(0)
     d1, d2 = rng.random(9), rng.random(11)
-    found = [(i, j) for i, cells in N.traverse(d1, d2, probes=20, groups=9) for j in cells]
+    found = [(i, j) for i, _, cells in N.traverse(d1, d2, probes=20, groups=9) for j in cells]
     order = sorted(((d1[i] + d2[j], i, j) for i in range(9) for j in range(11)))
     assert set(found) == {(i, j) for _, i, j in order[:20]}
