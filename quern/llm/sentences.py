@@ -1,16 +1,19 @@
 """Problem 1: ordered sentences of texts in many languages and scripts, with their offsets.
 
-A pushdown automaton reads the marks of a text from left to right: opening quotations and brackets are pushed, their ends
-popped, and a terminator ends a sentence only at the bottom of the stack. Abbreviations are looked up in a trie; list
-numbers, ordinals, decimals, initials, file names and addresses are told from terminators by what stands around a
-full stop; white space decides nothing, except in Thai, which has no terminators.
+A pushdown automaton reads the marks of a text from left to right. Its stack holds list levels at the bottom and quotations
+and brackets above them: opening marks are pushed and their ends popped, list markers push a level, go on with one or fall
+back to an outer one, and a terminator ends a sentence only where no quotation or bracket is open. A mark that is never
+closed, or whose end comes behind that of an outer one, is an ordinary character; a blank line empties the stack.
+Abbreviations are looked up in a trie; ordinals, decimals, initials, file names and addresses are told from terminators by
+what stands around a full stop; white space decides nothing, except in Thai, which has no terminators.
 
 Before it is read a text is folded mark by mark (width, look-alike letters, accents, invisible characters), so that
-abbreviations are known in any spelling; offsets always refer to the text as stored.
+abbreviations are known in any spelling; offsets always refer to the text as stored. The time is linear in the length.
 
-Defined results: null, empty and blank texts have no sentences; a text without marks is one sentence; an opening mark that
-is never closed is an ordinary character; repeated elements give their rows once for each element; other fields and
-columns are ignored. The plan is one narrow pass: explode, then Arrow batches.
+Defined results: null, empty and blank texts have no sentences; a text without marks is one sentence; a list marker belongs to
+its item, and an item that begins a line and goes on with the list begins a sentence; an inch or foot sign, an apostrophe and
+a smiley are no quotations or brackets; repeated elements give their rows once for each element; other fields and columns are
+ignored. The plan is one narrow pass: explode, then Arrow batches.
 """
 
 from __future__ import annotations
@@ -32,15 +35,21 @@ MAY_END = "etc al ltd inc co corp bros jr b.c a.d c.e b.c.e a.m p.m u.s u.k u.n
 PARTICLES = {"von", "van", "de", "da", "di", "del", "della", "der", "den", "zu", "zur", "ter", "ibn", "bin", "al", "el", "la", "le", "du", "dos", "af", "av"}
 ORDINAL_BEFORE = {"am", "im", "vom", "zum", "beim", "der", "den", "dem", "des", "die", "das", "ab", "bis", "seit", "zur", "jeder", "jedem"}
 
-QUOTES = {"“": "”", "„": "“”", "‟": "”", "«": "»", "‹": "›", "「": "」", "『": "』", "〈": "〉", "《": "》", "｢": "｣"}
-CLOSING_QUOTES = set("”»›」』〉》｣")
+QUOTES = {"“": "”", "„": "“”", "‟": "”", "«": "»", "‹": "›", "「": "」", "『": "』", "〈": "〉", "《": "》", "｢": "｣", "‘": "’", "‚": "‘’"}
+CLOSING_QUOTES = set("”»›」』〉》｣’")
 BRACKETS = {"(": ")", "[": "]", "{": "}", "【": "】", "〔": "〕"}
 CLOSING_BRACKETS = set(BRACKETS.values())
 #: Terminators that end a sentence whatever follows.
 STRONG = set("。｡।॥։።፧፨។៕။؟۔⁇⁈⁉‼")
-MARKS = re.compile("[.!?…;" + re.escape("".join(STRONG)) + "\"" + re.escape("".join(QUOTES) + "".join(CLOSING_QUOTES) + "".join(BRACKETS) + "".join(CLOSING_BRACKETS)) + "]")
-THAI = re.compile("[฀-๿]")
-GREEK_TONOS = re.compile("[ΆΈΉΊΌΎΏάέήίόύώΐΰ]|[Ͱ-Ͽ]́")
+_PAIRED = "\"'" + "".join(QUOTES) + "".join(CLOSING_QUOTES) + "".join(BRACKETS) + "".join(CLOSING_BRACKETS)
+MARKS = re.compile("[.!?…;\n" + re.escape("".join(STRONG) + _PAIRED) + "]")
+PAIRED = re.compile("[" + re.escape(_PAIRED) + "]|\n[^\\S\n]*\n")
+THAI = re.compile("[\u0e00-\u0e7f]")
+GREEK_LETTER = re.compile("[\u0370-\u03ff\u1f00-\u1fff]")
+LATIN_LETTER = re.compile("[A-Za-z\u00c0-\u024f]")
+#: A list marker and its kinds; a number or letter stands for its place in the list.
+LIST_MARK = re.compile(r"(?:(\()?(?:(\d{1,3})|([ivx]{1,5})|([A-Za-z]))([.)])|([•‣◦▪●*–-]))(?=\s)")
+ROMAN = {"i": 1, "ii": 2, "iii": 3, "iv": 4, "v": 5, "vi": 6, "vii": 7, "viii": 8, "ix": 9, "x": 10}
 WORD_BEFORE = re.compile(r"[^\s\d_.,;:!?\"'(){}\[\]«»“”„…/\\|<>=+*&%$#@~^–—-]+(?:\.[^\s\d_.,;:!?\"'(){}\[\]«»“”„…/\\|<>=+*&%$#@~^–—-]+)*\Z")
 SPACE = re.compile(r"\s+")
 
@@ -120,14 +129,12 @@ def _full_stop_ends(s: str, begin: int, at: int, after: int) -> bool:
         return False
     if before.isdigit():
         if following.isdigit():
-            return _year_ends(s, begin, at)
+            return False
         number = at
         while number > begin and s[number - 1].isdigit():
             number -= 1
-        if s[begin:number].strip() == "" and space and at - number <= 3:
-            return False  # the number of a list item
         if at - number <= 3 and space and s[nxt].isalpha():
-            word = re.search(r"(\w+)\s+\Z", s[begin:number])
+            word = re.search(r"(\w+)\s+\Z", s[max(begin, number - 24) : number])
             if word and word.group(1).lower() in ORDINAL_BEFORE:
                 return False
     if following.isalpha() and s[after + 1 : after + 2] == "." and before.isalpha() and not s[at - 2 : at - 1].isalpha():
@@ -166,11 +173,6 @@ def _unit(s: str, begin: int, at: int) -> bool:
     return at > begin and s[at - 1].isdigit()
 
 
-def _year_ends(s: str, begin: int, at: int) -> bool:
-    """'in 1496.26 boats': four digits behind a word that takes a year, then a small number and a word."""
-    return re.search(r"(?:in|until|after|since|[A-Z][a-z]+y|March|April|June|August|[A-Z][a-z]+ber)\s\d{4}\Z", s[max(begin, at - 20) : at]) is not None and re.match(r"\.\d{1,2} [a-z]", s[at : at + 6]) is not None
-
-
 def _speech_ends(s: str, end: int, said: bool) -> bool:
     """Whether a sentence ends with a quotation that closed behind a terminator; said: a colon introduces it."""
     if said or end >= len(s):
@@ -199,7 +201,7 @@ def spans(text: str | None) -> list[tuple[int, int]]:
     if not text:
         return []
     s, at = folded(text)
-    ends = _ends(s, GREEK_TONOS.search(text) is not None)
+    ends = _ends(s, _greek_counts(text, at) if ";" in s and GREEK_LETTER.search(text) else None)
     out, begin = [], 0
     for end in [*ends, len(s)]:
         a, b = begin, end
@@ -229,21 +231,127 @@ def _last(text: str, b: int, limit: int) -> int:
     return b
 
 
-def _ends(s: str, greek: bool) -> list[int]:
-    """Positions behind the sentences of a folded text."""
+def _greek_counts(text: str, at: list[int] | None) -> list[int]:
+    """For each place of the folded text: twice the Greek letters less the Latin ones before it in the stored text (names are
+    often Latin)."""
+    counts = [0]
+    for char in text if at is None else map(text.__getitem__, at):
+        counts.append(counts[-1] + (2 if GREEK_LETTER.match(char) else -1 if LATIN_LETTER.match(char) else 0))
+    return counts
+
+
+def _opens(s: str, i: int, char: str) -> bool:
+    """Whether a mark may open a quotation or bracket."""
+    before, behind = s[i - 1 : i], s[i + 1 : i + 2]
+    if char == '"':
+        return not before.isdigit()  # an inch sign
+    if char in "'‘‚":
+        return not before.isalnum() and behind != "" and not behind.isspace()
+    return char in QUOTES or char in BRACKETS and not (before in (":", ";") and char == "(")
+
+
+def _closes(s: str, i: int, char: str) -> bool:
+    """Whether a mark may close a quotation or bracket."""
+    before, behind = s[i - 1 : i], s[i + 1 : i + 2]
+    if char == ")":
+        return not (before in (":", ";") or before == "-" and s[i - 2 : i - 1] in (":", ";"))  # a smiley
+    if char == "'":
+        return before in ("." , "!", "?", ",", "…") and not behind.isalnum()
+    if char == "’":
+        return not behind.isalpha()
+    return True
+
+
+def _pairs(s: str) -> dict[int, int]:
+    """Place of each opening mark that is closed -> place of its end; pairs do not cross and end before a blank line."""
+    pairs: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    waited: dict[str, int] = {}
+
+    def pop() -> int:
+        closing, opened = stack.pop()
+        for c in closing:
+            waited[c] -= 1
+        return opened
+
+    for m in PAIRED.finditer(s):
+        i, char = m.start(), m.group()
+        if char[0] == "\n":
+            stack.clear()
+            waited.clear()
+        elif waited.get(char) and _closes(s, i, char):
+            while char not in stack[-1][0]:
+                pop()
+            pairs[pop()] = i
+        elif _opens(s, i, char):
+            closing = QUOTES.get(char) or BRACKETS.get(char) or char
+            stack.append((closing, i))
+            for c in closing:
+                waited[c] = waited.get(c, 0) + 1
+    return pairs
+
+
+def _list_mark(s: str, at: int) -> tuple[str, list[int], int] | None:
+    """(kind, places in the list that it may stand for, end) of a list marker at a position."""
+    m = LIST_MARK.match(s, at)
+    if m is None:
+        return None
+    bracket, number, roman, letter, close, bullet = m.groups()
+    if bullet:
+        return bullet, [], m.end()
+    if bracket and close == ".":
+        return None
+    kind = (bracket or "") + close
+    if number:
+        return "1" + kind, [int(number)], m.end()
+    values = [ROMAN[roman]] if roman in ROMAN else []
+    if letter or len(roman or "") == 1:
+        values.append(ord((letter or roman).lower()) - 96)
+    return ("a" if (letter or roman).islower() else "A") + kind, values, m.end()
+
+
+def _go_on(levels: list[tuple[str, list[int]]], mark: tuple[str, list[int], int], first: bool) -> bool:
+    """Go on with the level that the marker follows, without the levels within it, or push a level that it begins; of each
+    kind of marker the stack holds one level, a list that begins anew takes its place."""
+    kind, values, _ = mark
+    for depth in range(len(levels) - 1, -1, -1):
+        known, places = levels[depth]
+        if known == kind and (not values or any(v - 1 in places for v in values)):
+            del levels[depth + 1 :]
+            levels[depth] = kind, [v for v in values if v - 1 in places]
+            return True
+        if known == kind and first and 1 in values:
+            del levels[depth:]
+    if first and (not values or 1 in values):
+        levels.append((kind, values))
+    return False
+
+
+def _ends(s: str, greek: list[int] | None) -> list[int]:
+    """Positions behind the sentences of a folded text; greek: see _greek_counts."""
     ends: list[int] = []
-    stack: list[tuple[str, int, bool]] = []  # (closing marks, begin, introduced by a colon)
-    begin = 0
-    skip = 0
+    pairs = _pairs(s)
+    levels: list[tuple[str, list[int]]] = []  # list levels, the bottom of the stack
+    stack: list[tuple[int, int, bool]] = []  # quotations and brackets: (end, begin, introduced by a colon)
+    begin = skip = 0
+    start: int | None = None  # where the first character of the sentence stands, once it is asked for
     thai = THAI.search(s) is not None
     spaces = iter([m for m in SPACE.finditer(s) if _thai_space(s, m)]) if thai else iter(())
     space = next(spaces, None)
 
     def end_at(position: int) -> None:
-        nonlocal begin
+        nonlocal begin, start
         ends.append(position)
-        begin = position
+        begin, start = position, None
+
+    def first() -> int:
+        nonlocal start
+        if start is None:
+            m = SPACE.match(s, begin)
+            start = m.end() if m else begin
+        return start
 
+    marked = -1
     for m in MARKS.finditer(s):
         i, char = m.start(), m.group()
         while space is not None and space.start() < i:
@@ -252,29 +360,53 @@ def _ends(s: str, greek: bool) -> list[int]:
             space = next(spaces, None)
         if i < skip:
             continue
-        if stack and char in stack[-1][0]:
+        if not stack and marked != first():
+            marked = first()
+            mark = _list_mark(s, marked)
+            if mark is not None:
+                _go_on(levels, mark, True)
+                skip = mark[2]
+                if i < skip:
+                    continue
+        if stack and i == stack[-1][0]:
             _, opened, said = stack.pop()
             if stack:
                 continue
-            inner = s[opened + 1 : i].rstrip()
-            closed = inner[-1:] in ".!?…" or inner[-1:] in STRONG if inner else False
-            if not closed or inner.endswith("...") and not said:
+            last = i - 1
+            while last > opened and s[last].isspace():
+                last -= 1
+            closed = last > opened and (s[last] in ".!?…" or s[last] in STRONG)
+            if not closed or s.endswith("...", opened + 1, last + 1) and not said:
                 continue
             if char in CLOSING_BRACKETS:
-                if s[begin:opened].strip() == "":
+                if first() == opened:
                     end_at(i + 1)
             elif _speech_ends(s, i + 1, said):
                 end_at(i + 1)
             continue
-        closing = QUOTES.get(char) or BRACKETS.get(char) or ('"' if char == '"' else None)
-        if closing is not None:
-            if any(s.find(c, i + 1) >= 0 for c in closing):
-                stack.append((closing, i, s[:i].rstrip().endswith((":", "："))))
+        if i in pairs:
+            before = i - 1
+            while before >= 0 and s[before].isspace():
+                before -= 1
+            stack.append((pairs[i], i, before >= 0 and s[before] in ":："))
+            continue
+        if char == "\n":
+            if stack:
+                continue
+            line = SPACE.match(s, i).end()
+            if s.count("\n", i, line) > 1:
+                levels.clear()
+            mark = _list_mark(s, line) if levels else None
+            if mark is not None and first() < i:
+                if _go_on(levels, mark, True):
+                    end_at(i)
+                    marked = line
+                skip = mark[2]
             continue
-        if stack or char in CLOSING_QUOTES or char in CLOSING_BRACKETS:
+        if stack or char in _PAIRED:
             continue
         if char == ";":
-            if greek:
+            if greek is not None and greek[i] > greek[begin]:
                 end_at(i + 1)
             continue
         after = i + 1
@@ -291,14 +423,14 @@ def _ends(s: str, greek: bool) -> list[int]:
                 end_at(after)
             continue
         if run == ".":
-            ended = _full_stop_ends(s, begin, i, after)
+            ended = _full_stop_ends(s, begin, i, after) and not _numbers_item(s, i, levels)
         elif run[0] in "!?":
             nxt = s[after] if after < len(s) else ""
             ended = not (nxt.islower() and nxt.isascii() and not _particle(s, after)) and nxt not in set("=&/,")
         else:
             ended = True
         if ended:
-            while after < len(s) and (s[after] in CLOSING_QUOTES or s[after] in CLOSING_BRACKETS):
+            while after < len(s) and after not in pairs and (s[after] in CLOSING_QUOTES or s[after] in CLOSING_BRACKETS):
                 after += 1
             skip = after
             end_at(after)
@@ -309,6 +441,17 @@ def _ends(s: str, greek: bool) -> list[int]:
     return ends
 
 
+def _numbers_item(s: str, at: int, levels: list[tuple[str, list[int]]]) -> bool:
+    """Whether a full stop within a line belongs to the number of the next item of the innermost list level."""
+    if not levels or not s[at - 1].isdigit():
+        return False
+    number = at
+    while number > 0 and at - number < 4 and s[number - 1].isdigit():
+        number -= 1
+    mark = _list_mark(s, number) if number == 0 or s[number - 1].isspace() else None
+    return mark is not None and mark[2] == at + 1 and _go_on(levels, mark, False)
+
+
 UNITS = "unit_no bigint, start_pos bigint, end_pos bigint"
 
 

@@ -68,6 +68,44 @@ def test_odd_texts():
     assert len(spans("(" * 5000 + "a.")) >= 1
 
 
+@pytest.mark.parametrize("parts", [
+    ["(He said “hello) and left.", "It rained.", "The sun came out.”", "Later it ended.", "Done here."],
+    ['It is a 5" pipe.', "It is long.", 'He has a 3" one.'],
+    ["It rained :( all day.", "We left :)", "Then it ended."][:1] + ["Then it (really) ended."],
+    ["He said ‘Stop. Go away.’ and left.", "She said 'Stop. Go away.' and left.", "The dogs’ bowl isn't here.", "It’s gone."],
+    ["The word λόγος is Greek; it means word; so they say.", "Ποιος είναι;", "Yes; and no."],
+    ["“It is (so. He “thinks” so. They say.) It ends. Yes.”", "Done."],
+    ["It (a stray one stands. here", "And more."][:0] + ["One [note. here] two.", "Three."],
+])
+def test_marks_that_cross_or_stay_open(parts):
+    assert cut(" ".join(parts)) == parts
+
+
+def test_blank_line_empties_the_stack():
+    assert cut("He said “it never closes. Really.\n\nNext one. Last ”one.") == ["He said “it never closes.", "Really.", "Next one.", "Last ”one."]
+
+
+@pytest.mark.parametrize("text,parts", [
+    ("1. Open the door. 2. Close it. 3. Leave.", ["1. Open the door.", "2. Close it.", "3. Leave."]),
+    ("1. Open the door 2. Close it", ["1. Open the door 2. Close it"]),
+    ("1. Apples\n2. Pears\n   a) green\n   b) red. Sweet.\n3. Plums", ["1. Apples", "2. Pears\n   a) green", "b) red.", "Sweet.", "3. Plums"]),
+    ("- one\n- two. More.\n- three", ["- one", "- two.", "More.", "- three"]),
+    ("(i) first\n(ii) second\n(iii) third", ["(i) first", "(ii) second", "(iii) third"]),
+    ("It has 3\n2. of these", ["It has 3\n2.", "of these"]),
+])
+def test_list_levels(text, parts):
+    assert cut(text) == parts
+
+
+@pytest.mark.parametrize("piece", ["(", "“", "q “( ", "1. ", "a) ", "; (", " 3. März ", '5" "', "\n- x", ": “a.” ", "[b] "])
+def test_time_is_linear(piece):
+    import time
+
+    began = time.process_time()
+    spans("x" + piece * 40_000 + " end.")
+    assert time.process_time() - began < 8
+
+
 def test_rows(spark):
     schema = "evidence_id bigint, unit_no string, evidence_sentences array<struct<sentence_id:bigint,text:string,page_title:string,page_url:string>>"
     rows = [(1, "clash", [(0, "Ab. Cd.", None, None), (1, None, None, None), (2, " ", None, None)]), (2, None, None), (3, None, []), (None, None, [(None, "Xy z.", None, None)])]
