@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import html
+import json
 import sys
 import unicodedata
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import pandas as pd
@@ -14,45 +16,82 @@ from pyspark.sql import functions as F
 
 @lru_cache(maxsize=1)
 def _decompositions() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """From the Unicode database: characters whose compatibility form without marks is one other character, and
-    characters whose form is several ASCII characters (ligatures, digraphs, roman numerals)."""
+    """From the Unicode database: characters whose compatibility form without combining marks is one other character, and
+    those whose form is several characters of which some are ASCII letters or digits (signs, fractions, numerals, units)."""
     single, to, several = [], [], []
-    for code in range(0x80, min(sys.maxunicode, 0xFFFF) + 1):
+    for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
-        if unicodedata.combining(char) or 0xD800 <= code < 0xE000 or 0xAC00 <= code < 0xD7A4:
+        if unicodedata.combining(char) or not unicodedata.decomposition(char):
             continue
         plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if plain == char or not plain:
-            continue
-        if len(plain) == 1:
+        if len(plain) == 1 and plain != char:
             single.append(char)
             to.append(plain)
-        elif plain.isascii() and plain.isalnum():
+        elif not plain or len(plain) > 1 and any(c.isascii() and c.isalnum() for c in plain):
             several.append((char, plain))
     return "".join(single), "".join(to), tuple(several)
 
 
+@lru_cache(maxsize=1)
+def _folds() -> tuple[tuple[str, str], ...]:
+    """From the Unicode database: lower-case characters, but for the usual ones, and their case-folded forms where those differ."""
+    usual = {before for before, _ in _USUAL_FOLDS}
+    return tuple((c, c.casefold()) for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.casefold() != c and c.lower() == c and c not in usual)
+
+
+def _class_of(chars: Iterable[str]) -> str:
+    """A regex class of characters, as ranges of code points."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+@lru_cache(maxsize=1)
+def _classes() -> tuple[str, str, str]:
+    """Regex classes: characters of several, of the folds but for the usual ones, and combining marks."""
+    marks = (c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.combining(c))
+    return _class_of(c for c, _ in _decompositions()[2]), _class_of(c for c, _ in _folds()), _class_of(marks)
+
+
+def _once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c), with c computed once however often f names it."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
+def _replaced(c: Column, pairs: tuple[tuple[str, str], ...], present: str) -> Column:
+    """c with the pairs replaced; only texts that hold one of them are looked at closely."""
+    listed = F.from_json(F.lit(json.dumps([{"a": a, "b": b} for a, b in pairs])), "array<struct<a:string,b:string>>")
+    return _once(c, lambda v: F.when(v.rlike(present), F.aggregate(listed, v, lambda acc, x: F.replace(acc, x["a"], x["b"]))).otherwise(v))
+
+
 def normalize_space(c: Column) -> Column:
     """Runs of white space (no-break spaces and separators included) as one space, none at the ends."""
     return F.trim(F.regexp_replace(c, r"(?U)[\s\x1C-\x1F]+", " "))
 
 
+BEYOND_ASCII = r"[^\x00-\x7F]"
+#: The folds that texts hold often; the others are looked up only where one of them occurs.
+_USUAL_FOLDS = (("ß", "ss"), ("ς", "σ"), ("ſ", "s"))
+
+
 def casefold(c: Column) -> Column:
-    """Case folding: lower case, with sharp s and final sigma and long s as their folded forms."""
-    folded = F.lower(c)
-    for before, after in (("ß", "ss"), ("ς", "σ"), ("ſ", "s")):
-        folded = F.replace(folded, F.lit(before), F.lit(after))
-    return folded
+    """Full Unicode case folding."""
+    usual = F.lower(c)
+    for before, after in _USUAL_FOLDS:
+        usual = F.replace(usual, F.lit(before), F.lit(after))
+    return F.when(c.rlike(BEYOND_ASCII), _replaced(usual, _folds(), _classes()[1])).otherwise(F.lower(c))
 
 
 def plain_letters(c: Column) -> Column:
-    """Compatibility decomposition without combining marks."""
+    """Compatibility decomposition without combining marks, as far as ASCII letters and digits come of it."""
     single, to, several = _decompositions()
-    out = F.translate(c, single, to)
-    for char, plain in several:
-        if char in "ﬀﬁﬂﬃﬄﬅﬆĲĳǄǅǆǇǈǉǊǋǌǱǲǳ":
-            out = F.replace(out, F.lit(char), F.lit(plain))
-    return F.regexp_replace(out, r"\p{M}+", "")
+    some, _, marks = _classes()
+    whole = F.regexp_replace(_replaced(F.translate(c, single, to), several, some), marks, "")
+    return F.when(c.rlike(BEYOND_ASCII), whole).otherwise(c)
 
 
 def ascii_slug(c: Column) -> Column:
@@ -64,8 +103,8 @@ def ascii_slug(c: Column) -> Column:
 def relation_slug(c: Column) -> Column:
     """A relation label as snake case: camel case split, accents dropped, folded, other runs as one underscore."""
     split = F.regexp_replace(normalize_space(c), r"([a-z0-9])(?=[A-Z])", "$1_")
-    folded = casefold(plain_letters(split))
-    return F.trim(F.regexp_replace(folded, r"[^a-z0-9]+", "_"), F.lit("_"))
+    folded = _once(_once(split, plain_letters), casefold)
+    return F.when(c.rlike(BEYOND_ASCII), F.trim(F.regexp_replace(folded, r"[^a-z0-9]+", "_"), F.lit("_"))).otherwise(ascii_slug(c))
 
 
 def stable_pair_id(base_relation: Column, concept_1: Column, concept_2: Column) -> Column:
@@ -121,9 +160,8 @@ def alias_variants(label: Column) -> Column:
     return F.filter(F.array_distinct(forms), lambda x: x.isNotNull() & (x != ""))
 
 
-def contains_any(sentence: Column, aliases: Column) -> Column:
-    """Whether any alias is a substring of the folded sentence."""
-    folded = casefold(sentence)
+def contains_any(folded: Column, aliases: Column) -> Column:
+    """Whether any alias is a substring of a folded sentence."""
     return F.exists(aliases, lambda a: F.contains(folded, a))
 
 

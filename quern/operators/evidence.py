@@ -12,10 +12,11 @@ from quern.runtime import cut
 
 
 def page_sentences(pages: DataFrame, page_id: str, title: str, text: str, settings: Wikipedia | None = None) -> DataFrame:
-    """(page_id, page_title, sentence_pos, sentence) of each page."""
+    """(page_id, page_title, sentence_pos, sentence, folded) of each page; a sentence is folded once, whatever asks for it."""
     settings = settings or Wikipedia()
     cut = split_sentences(clean_wiki_text(F.col(text)), settings.min_sentence_chars, settings.max_sentence_chars)
-    return pages.where(F.col(text).isNotNull()).select(F.col(page_id).alias("page_id"), F.col(title).alias("page_title"), F.posexplode(cut).alias("sentence_pos", "sentence"))
+    found = pages.where(F.col(text).isNotNull()).select(F.col(page_id).alias("page_id"), F.col(title).alias("page_title"), F.posexplode(cut).alias("sentence_pos", "sentence"))
+    return found.withColumn("folded", casefold(F.col("sentence")))
 
 
 def candidate_pages(pairs: DataFrame, pages: DataFrame, page_id: str, title: str, max_pages: int = 10) -> DataFrame:
@@ -36,19 +37,19 @@ def asked_pages(pages: DataFrame, candidates: DataFrame, page_id: str) -> DataFr
 
 
 def cooccurrences(pairs: DataFrame, candidates: DataFrame, sentences: DataFrame) -> DataFrame:
-    """(pair_id, page_pos, page_title, sentence_pos, sentence) with an alias of each concept.
+    """(pair_id, page_pos, page_title, sentence_pos, sentence, folded) with an alias of each concept.
 
     An equi-join on the candidate page comes first; the containment test is a filter on its rows.
     """
     aliases = pairs.select("pair_id", alias_variants(F.col("concept_1")).alias("aliases_1"), alias_variants(F.col("concept_2")).alias("aliases_2"))
     met = candidates.join(aliases, "pair_id").join(sentences, "page_id")
-    both = contains_any(F.col("sentence"), F.col("aliases_1")) & contains_any(F.col("sentence"), F.col("aliases_2"))
-    return met.where(both).select("pair_id", "page_pos", "page_title", "sentence_pos", "sentence")
+    both = contains_any(F.col("folded"), F.col("aliases_1")) & contains_any(F.col("folded"), F.col("aliases_2"))
+    return met.where(both).select("pair_id", "page_pos", "page_title", "sentence_pos", "sentence", "folded")
 
 
 def numbered_evidence(found: DataFrame, language: str = "en") -> DataFrame:
     """(pair_id, sentence_id, text, page_title, page_url): first of equal folded sentences, dense ids from 0."""
-    first = Window.partitionBy("pair_id", casefold(F.col("sentence"))).orderBy("page_pos", "sentence_pos")
+    first = Window.partitionBy("pair_id", "folded").orderBy("page_pos", "sentence_pos")
     kept = found.withColumn("n", F.row_number().over(first)).where("n = 1")
     number = F.row_number().over(Window.partitionBy("pair_id").orderBy("page_pos", "sentence_pos")) - 1
     return kept.select("pair_id", number.cast("bigint").alias("sentence_id"), F.col("sentence").alias("text"), "page_title", page_url(F.col("page_title"), language).alias("page_url"))

@@ -6,7 +6,10 @@ query needs fields that a table lacks (review decisions, page sources) they are
 
 from __future__ import annotations
 
+import unicodedata
+import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,18 +41,33 @@ def s_norm(x: str) -> str:
 
 
 def s_fold(x: str) -> str:
-    return f"replace(replace(replace(lower({x}), 'ß', 'ss'), 'ς', 'σ'), 'ſ', 's')"
+    out = f"lower({x})"
+    for char in "ßςſﬀﬁﬂﬃﬄﬅﬆŉǰ":
+        out = f"replace({out}, '{char}', '{char.casefold()}')"
+    return out
+
+
+def _plain(char: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+
+
+@lru_cache(maxsize=1)
+def _plain_sql() -> tuple[str, str, str]:
+    """Straight from the Unicode database: characters with a plain form of one character, those forms, and a map of the
+    characters whose plain forms hold several characters with ASCII letters or digits."""
+    forms = {chr(c): _plain(chr(c)) for c in range(0x80, 0x20000) if unicodedata.decomposition(chr(c)) and not unicodedata.combining(chr(c))}
+    one = {c: p for c, p in forms.items() if len(p) == 1 and p != c}
+    more = {c: p for c, p in forms.items() if len(p) > 1 and any("0" <= x <= "9" or "a" <= x.lower() <= "z" for x in p)}
+    entries = ", ".join(f"{_quoted(c)}: {_quoted(p)}" for c, p in more.items())
+    return _quoted("".join(one)), _quoted("".join(one.values())), f"MAP {{{entries}}}"
 
 
 def s_slug(x: str, beyond_ascii: bool = False) -> str:
     split = f"regexp_replace({s_norm(x)}, '([a-z0-9])([A-Z])', '\\1_\\2', 'g')"
     if beyond_ascii:
-        single, to, several = X._decompositions()
-        split = f"translate({split}, {_quoted(single)}, {_quoted(to)})"
-        for char, plain in several:
-            if char in "ﬀﬁﬂﬃﬄﬅﬆĲĳǄǅǆǇǈǉǊǋǌǱǲǳ":
-                split = f"replace({split}, '{char}', '{plain}')"
-        split = f"regexp_replace({split}, '\\p{{M}}+', '', 'g')"
+        chars, plain, several = _plain_sql()
+        wide = f"translate(array_to_string(list_transform(string_split({split}, ''), lambda ch: coalesce({several}[ch], ch)), ''), {chars}, {plain})"
+        split = f"CASE WHEN regexp_matches({x}, '[^\\x00-\\x7F]') THEN regexp_replace({wide}, '\\p{{Mn}}+', '', 'g') ELSE {split} END"
     return f"trim(regexp_replace({s_fold(split)}, '[^a-z0-9]+', '_', 'g'), '_')"
 
 
@@ -166,7 +184,7 @@ def sentence_split(spark, d):
     return ev.page_sentences(table(spark, d, "documents"), "doc_id", "page_title", "text").select("page_id", "sentence_pos", "sentence")
 
 
-@query(f"SELECT DISTINCT page_title, 'https://en.wikipedia.org/wiki/' || replace(url_encode(replace(page_title, ' ', '_')), '%2F', '/') AS url FROM documents WHERE page_title IS NOT NULL AND page_title NOT LIKE '%+%'")
+@query(f"SELECT DISTINCT page_title, 'https://en.wikipedia.org/wiki/' || replace(url_encode(replace(page_title, ' ', '_')), '%2F', '/') AS url FROM documents  WHERE page_title IS NOT NULL")
 def page_urls(spark, d):
     titles = table(spark, d, "documents").where("page_title IS NOT NULL").select("page_title").distinct()
     return titles.select("page_title", X.page_url(F.col("page_title")).alias("url"))
@@ -297,14 +315,17 @@ def base_relation_inject(spark, d):
     return flat.select("pair_id", F.col("r.normalized_predicate").alias("normalized"))
 
 
-_list = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+# The word lists of the review rules, stated once more for the SQL.
+S_AMBIGUOUS = "['related_to', 'associated_with', 'connected_to', 'linked_to', 'represents', 'influences', 'leads', 'has_connection_with']"
+S_OPINION = "['best', 'better', 'beautiful', 'important', 'greatest', 'favourite', 'favorite', 'prestigious', 'superior', 'inferior']"
+S_TRANSIENT = "['current', 'currently', 'recent', 'recently', 'now', 'incumbent', 'ongoing', 'temporary', 'latest']"
 S_REVIEW = f"""WITH {S_LAST_EVIDENCE},
     flat AS (SELECT mined_id, pair_id, CAST(pos AS INTEGER) AS pos, r.raw_predicate AS raw_predicate, r.normalized_predicate AS p, coalesce(r.evidence_sentence_ids, []) AS ids, r.source AS source
              FROM (SELECT mined_id, pair_id, unnest(relations) AS r, unnest(range(len(relations))) AS pos FROM raw_relations)),
     seen AS (SELECT *, row_number() OVER (PARTITION BY mined_id, p ORDER BY pos) > 1 AS dup FROM flat),
     judged AS (SELECT *, CASE WHEN source = 'input_base_relation' THEN 'accept|base_relation' WHEN coalesce(length(p), 0) < 2 THEN 'reject|malformed' WHEN dup THEN 'reject|duplicate'
-        WHEN list_contains({_list(rl.AMBIGUOUS_RELATIONS)}, p) THEN 'review|ambiguous' WHEN list_has_any(string_split(p, '_'), {_list(rl.OPINION_TERMS)}) THEN 'reject|opinion_based'
-        WHEN list_has_any(string_split(p, '_'), {_list(rl.TRANSIENT_TERMS)}) THEN 'reject|transient' WHEN len(ids) = 0 THEN 'review|unsupported' ELSE 'accept|valid' END AS verdict FROM seen)"""
+        WHEN list_contains({S_AMBIGUOUS}, p) THEN 'review|ambiguous' WHEN list_has_any(string_split(p, '_'), {S_OPINION}) THEN 'reject|opinion_based'
+        WHEN list_has_any(string_split(p, '_'), {S_TRANSIENT}) THEN 'reject|transient' WHEN len(ids) = 0 THEN 'review|unsupported' ELSE 'accept|valid' END AS verdict FROM seen)"""
 
 
 def _review(spark, d):
@@ -753,7 +774,16 @@ def validation_report(spark, d):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def jsonl_scan(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
+    """The events as JSON lines in a folder beside the checkpoints, read back by the source."""
+    from pyspark.sql import types as T
+
+    from quern.runtime import ensure_checkpoint_dir
+    from quern.sources.files import read_jsonl, write_jsonl
+
+    folder = f"{ensure_checkpoint_dir(spark)}/jsonl_scan-{uuid.uuid4().hex}"
+    write_jsonl(table(spark, d, "events").select("event_id", F.from_json("props", "k BIGINT").alias("props")), folder)
+    schema = T.StructType.fromDDL("event_id BIGINT, props STRUCT<k: BIGINT>")
+    return read_jsonl(spark, folder, schema).select("event_id", "props.k")
 
 
 FLAGSHIP = evidence_sentence_ids

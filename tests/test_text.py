@@ -24,7 +24,10 @@ def test_slug_equals_a_plain_python_form(spark):
         v = "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)).casefold()
         return re.sub(r"_+", "_", re.sub(r"[^a-z0-9]+", "_", v)).strip("_")
 
-    values = ["ﬁrst Lake", "Ｗｉｄｅ", "mündet in", "naïveCase", "ŽelezoRudný", "x²", "K elvin"]
+    import sys
+
+    signs = [f"a{chr(c)}b" for c in range(0x80, sys.maxunicode + 1) if unicodedata.decomposition(chr(c)) and not 0xAC00 <= c < 0xD7A4 and not 0xF900 <= c < 0xFAE0 and not 0x2F800 <= c < 0x2FA20]
+    values = ["Brand™ of", "½ owner", "Ⅷ rank", "№ of", "km㎏", "aाb", "ﷺ x", "𝐁old 𝟗", "Ǆep", *signs, "ﬁrst Lake", "Ｗｉｄｅ", "mündet in", "naïveCase", "ŽelezoRudný", "x²", "K elvin"]
     assert run(spark, values, X.relation_slug) == [plain(v) for v in values]
 
 
@@ -66,7 +69,7 @@ def test_alias_variants(spark):
 
 
 def test_contains_any_is_a_substring_test(spark):
-    df = spark.createDataFrame([("An Iranian lake", ["iran"]), ("A lake", ["iran"])], "s string, a array<string>")
+    df = spark.createDataFrame([("an iranian lake", ["iran"]), ("a lake", ["iran"])], "s string, a array<string>")
     assert [r[0] for r in df.select(X.contains_any(F.col("s"), F.col("a"))).collect()] == [True, False]
 
 
@@ -80,3 +83,12 @@ def test_page_url_ids_and_seed(spark):
 def test_cache_key(spark, model, text):
     df = spark.createDataFrame([(model, text)], "m string, t string")
     assert df.select(X.cache_key(F.col("m"), F.col("t"))).first()[0] == hashlib.sha256(f"{model}\0{text}".encode()).hexdigest()
+
+
+def test_casefold_is_that_of_unicode(spark):
+    import sys
+
+    letters = [chr(c) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and (chr(c).casefold() != chr(c) or chr(c).lower() != chr(c)) and unicodedata.name(chr(c), "")]
+    values = ["Straße ΣΑΣ ſ", "ŉ ǰ ΐ ﬃ ՙև", "ᏸ Ꭰ ꭰ", "İI", "Ὀδυσσεύς ᾳ ᾈ", *letters]
+    got = run(spark, values, X.casefold)
+    assert [(v, g) for v, g in zip(values, got) if g != v.casefold()] == []
