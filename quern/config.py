@@ -83,13 +83,14 @@ class Config:
     def resolve_paths(self, base: Path) -> Config:
         for f in fields(self.paths):
             value = getattr(self.paths, f.name)
-            if value is not None and not Path(value).is_absolute():
+            if value is not None and "://" not in value and not Path(value).is_absolute():
                 setattr(self.paths, f.name, str((base / value).resolve()))
         return self
 
     def ensure_directories(self) -> None:
         for name in ("work_dir", "review_dir", "output_dir", "cache_dir"):
-            Path(getattr(self.paths, name)).mkdir(parents=True, exist_ok=True)
+            if "://" not in getattr(self.paths, name):  # a store named by a URI makes its folders when they are written
+                Path(getattr(self.paths, name)).mkdir(parents=True, exist_ok=True)
 
 
 def _fill(target, values: dict) -> None:

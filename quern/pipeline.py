@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +40,7 @@ class Pipeline:
         ship_package(self.spark)
 
     def _path(self, folder: str, name: str) -> str:
-        return str(Path(getattr(self.config.paths, folder), name))
+        return f"{getattr(self.config.paths, folder).rstrip('/')}/{name}"
 
     def _read(self, name: str, schema, folder: str = "work_dir") -> DataFrame:
         """Stored records with an ordinal: the last record of a pair counts where one is needed."""
@@ -57,6 +56,8 @@ class Pipeline:
 
     def pairs(self) -> DataFrame:
         loaded = pr.load_pairs(files.read_pairs_csv(self.spark, self.config.paths.input_csv))
+        if loaded.isEmpty():
+            raise ValueError(f"{self.config.paths.input_csv} has no pairs")
         repeated = pr.repeated_pair_ids(loaded).limit(1).collect()
         if repeated:
             raise ValueError(f"repeated pair_id {repeated[0]['pair_id']}")
@@ -118,9 +119,10 @@ class Pipeline:
         return files.table_or_empty(self.spark, self._cache_path(), schemas.EMBEDDING)
 
     def ensure_embeddings(self, texts: DataFrame) -> str:
-        """Embed the texts that the cache lacks and append them."""
+        """Embed the texts that the cache lacks and append them, each once; stored entries stay as they are."""
         missing = ec.missing_texts(texts, self._cache(), self.config.openai.embedding_model)
-        self.embedder(missing).write.mode("append").parquet(self._cache_path())
+        fresh = self.embedder(missing).withColumn("_at", F.monotonically_increasing_id())
+        ec.last_entries(fresh, "_at").write.mode("append").parquet(self._cache_path())
         return self._cache_path()
 
     def embed_contexts(self) -> str:
@@ -132,22 +134,26 @@ class Pipeline:
         eligible = qs.eligible_pairs(pairs, self._latest("relation_rankings.jsonl", schemas.RELATION_RANKING), evidence, settings, self.config.wikipedia.allow_pairs_below_minimum)
         if not eligible.limit(1).collect():
             raise ValueError(f"no group has {settings.target_count + 1} pairs with rankings and context")
+        sentences = evidence.join(eligible.select("pair_id"), "pair_id", "left_semi").select("pair_id", F.explode("evidence_sentences").alias("s")).select("pair_id", F.col("s.text").alias("text")).where("text IS NOT NULL")
         stems = eligible.select(qs.stem_text(F.col("concept_1"), F.col("concept_2"), F.col("base_relation")).alias("text"))
-        self.ensure_embeddings(stems.unionByName(eligible.select(qs.pair_text(F.col("concept_1"), F.col("concept_2")).alias("text"))))
-        cache = self._cache().where(F.col("model") == self.config.openai.embedding_model)
+        prototypes = stems.unionByName(eligible.select(qs.pair_text(F.col("concept_1"), F.col("concept_2")).alias("text")))
+        self.ensure_embeddings(prototypes.unionByName(sentences.select("text")))
+        model = self.config.openai.embedding_model
+        cache = self._cache().where(F.col("model") == model)
         sampled = qs.sampled_targets(qs.stem_schedule(eligible, settings), qs.target_pools(eligible), settings)
-        sentences = evidence.join(eligible.select("pair_id"), "pair_id", "left_semi").select("pair_id", F.explode("evidence_sentences").alias("s")).select("pair_id", F.col("s.text").alias("text"))
-        vectors = ec.lookup(sentences, cache, self.config.openai.embedding_model).where("vector IS NOT NULL").groupBy("pair_id").agg(F.collect_list("vector").alias("vectors"))
+        # a vector that is not of its stated length fails the job
+        vectors = ec.lookup(sentences, cache, model, strict=True).where("vector IS NOT NULL").groupBy("pair_id").agg(F.collect_list("vector").alias("vectors"))
         scored = qs.relation_overlaps(sampled, eligible)
         scored = qs.context_scores(scored, vectors, self.config.embedding.context_similarity_threshold)
-        scored = qs.prototype_scores(scored, pairs, cache.select("text_value", "vector"))
+        known = ec.lookup(prototypes.distinct(), cache, model, strict=True).where("vector IS NOT NULL").withColumnRenamed("text", "text_value")
+        scored = qs.prototype_scores(scored, pairs, known)
         records = qs.question_records(pairs, sampled, qs.answers(scored, tolerance=settings.tie_tolerance))
         path = self._path("output_dir", "analogy_questions.jsonl")
         files.write_jsonl(records, path)
         if settings.total_questions is not None:
             note = qs.shortfall_warning(files.read_jsonl(self.spark, path, schemas.QUESTION).count(), settings)
             if note:
-                Path(self._path("output_dir", "generation_warning.txt")).write_text(note, encoding="utf-8")
+                files.write_text(self.spark, self._path("output_dir", "generation_warning.txt"), note)
         return path
 
     def validate(self) -> dict:

@@ -253,6 +253,16 @@ def prompt_budget(spark, d):
     return ev.prompt_context(flat, "sentence_id", "text", limit=400, key="evidence_id")
 
 
+@query("""SELECT evidence_id, count(*) AS lines, sum(length(line)) AS chars FROM (
+    SELECT evidence_id, line, sum(length(line)) OVER (PARTITION BY evidence_id ORDER BY sentence_id ROWS UNBOUNDED PRECEDING) AS total FROM (
+        SELECT evidence_id, s.sentence_id AS sentence_id, '[' || CAST(s.sentence_id AS VARCHAR) || '] ' || s.text AS line FROM (SELECT evidence_id, unnest(evidence_sentences) AS s FROM wiki_evidence) WHERE s.text IS NOT NULL))
+    WHERE total <= 24000 GROUP BY 1""")
+def prompt_budget_default(spark, d):
+    flat = table(spark, d, "wiki_evidence").select("evidence_id", F.explode("evidence_sentences").alias("s")).select("evidence_id", "s.sentence_id", "s.text").where("text IS NOT NULL")
+    lines = ev.prompt_context(flat, "sentence_id", "text", key="evidence_id")
+    return lines.groupBy("evidence_id").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).cast("decimal(38,0)").alias("chars"))
+
+
 @query("SELECT evidence_id FROM wiki_evidence WHERE coalesce(passes_minimum, false)")
 def evidence_gate(spark, d):
     return ev.usable(table(spark, d, "wiki_evidence")).select("evidence_id")
@@ -297,7 +307,7 @@ def _mined(spark, d):
 S_MINED = f"""WITH {S_PAIRS}, {S_ONE_PAIR}, {S_ALIASES}, {S_LAST_EVIDENCE}, {s_last('last_reply', 'raw_relations', 'mined_id')},
     gated AS (SELECT p.pair_id, p.base_relation, e.pair_id AS has, coalesce(e.passes_minimum, false) AS passes, coalesce(len(e.evidence_sentences), 0) AS n, r.relations AS reply, r.error AS reply_error
               FROM one_pair p LEFT JOIN last_evidence e USING (pair_id) LEFT JOIN last_reply r ON r.pair_id = p.pair_id),
-    judged AS (SELECT *, CASE WHEN has IS NULL THEN 'No Wikipedia evidence record found' WHEN NOT passes THEN 'Only ' || CAST(n AS VARCHAR) || ' co-occurrence sentences; minimum is 5' ELSE reply_error END AS error FROM gated),
+    judged AS (SELECT *, CASE WHEN has IS NULL THEN 'the pair has no evidence record' WHEN NOT passes THEN CAST(n AS VARCHAR) || ' evidence sentences of 5 required' ELSE reply_error END AS error FROM gated),
     extracted AS (SELECT pair_id, coalesce(canonical, slug) AS normalized FROM (SELECT pair_id, {s_slug('r.raw_predicate', True)} AS slug FROM (SELECT pair_id, unnest(reply) AS r FROM judged WHERE error IS NULL)) LEFT JOIN aliases ON variant = slug WHERE coalesce(canonical, slug) <> ''),
     injected AS (SELECT pair_id, coalesce(canonical, base_relation) AS normalized FROM judged LEFT JOIN aliases ON variant = base_relation WHERE error IS NULL)"""
 
@@ -388,13 +398,26 @@ def blank_coalesce(spark, d):
     return flat.select("canon_id", "pos", F.coalesce(F.nullif(F.col("r.source"), F.lit("")), F.lit("reviewed")).alias("source"), F.nullif(F.col("r.notes"), F.lit("")).alias("notes"))
 
 
-@query(f"WITH {S_PAIRS}, titled AS (SELECT DISTINCT page_title AS title, {s_fold(s_norm('page_title'))} AS folded FROM documents WHERE page_title IS NOT NULL) SELECT row_no, title, place FROM (SELECT row_no, title, CAST(row_number() OVER (PARTITION BY row_no ORDER BY title) AS INTEGER) AS place FROM pairs JOIN titled ON folded = {s_fold('concept_1')}) WHERE place <= 2")
-def search_titles(spark, d):
+def s_search(limit: int) -> str:
+    return f"WITH {S_PAIRS}, titled AS (SELECT DISTINCT page_title AS title, {s_fold(s_norm('page_title'))} AS folded FROM documents WHERE page_title IS NOT NULL) SELECT row_no, title, place FROM (SELECT row_no, title, CAST(row_number() OVER (PARTITION BY row_no ORDER BY title) AS INTEGER) AS place FROM pairs JOIN titled ON folded = {s_fold('concept_1')}) WHERE place <= {limit}"
+
+
+def _searched(spark, d, limit: int):
     from quern.sources.providers import search_titles as search
 
     pages = _pages(spark, d).where("page_title IS NOT NULL").select(F.col("page_title").alias("title"))
     asked = _pairs(spark, d).select(F.col("row_no").alias("query_id"), F.col("concept_1").alias("query"))
-    return search(asked, pages, limit=2).withColumnRenamed("query_id", "row_no")
+    return search(asked, pages, limit=limit).withColumnRenamed("query_id", "row_no")
+
+
+@query(s_search(2))
+def search_titles(spark, d):
+    return _searched(spark, d, 2)
+
+
+@query(s_search(8))
+def search_titles_default(spark, d):
+    return _searched(spark, d, 8)
 
 
 @query("SELECT ranking_id, r.relation AS relation, round(CASE WHEN r.appearances > 0 THEN coalesce(r.most_count, 0) / r.appearances ELSE 0 END - CASE WHEN r.appearances > 0 THEN coalesce(r.least_count, 0) / r.appearances ELSE 0 END, 9) AS rate FROM (SELECT ranking_id, unnest(relations) AS r FROM relation_rankings) WHERE r IS NOT NULL")
@@ -456,6 +479,25 @@ def maxdiff_rank(spark, d):
     return md.ranked(_tally(spark, d), ["pair_id"]).select("pair_id", "relation", "rank")
 
 
+@query(f"""WITH {S_CHOICES}, judged AS (SELECT pair_id, relations, CASE WHEN len(relations) = 1 THEN relations[1] ELSE most END AS most, CASE WHEN len(relations) = 1 THEN NULL ELSE least END AS least,
+        len(relations) = 1 OR (most IS NOT NULL AND least IS NOT NULL AND most <> least) AS good FROM resolved WHERE pair_id IS NOT NULL AND block_id IS NOT NULL),
+    whole AS (SELECT pair_id, bool_and(coalesce(good, false)) AS good FROM judged GROUP BY 1),
+    counted AS (SELECT pair_id, relation, count(*) AS n, count(*) FILTER (WHERE most = relation) AS m, count(*) FILTER (WHERE least = relation) AS l FROM (SELECT pair_id, most, least, unnest(relations) AS relation FROM judged) GROUP BY 1, 2)
+    SELECT w.pair_id, c.relation, CAST(row_number() OVER (PARTITION BY w.pair_id ORDER BY round(m / n - l / n + 1.1, 9) DESC, c.relation NULLS FIRST) AS INTEGER) AS rank, round(m / n - l / n + 1.1, 9) AS score, CAST(NULL AS VARCHAR) AS error FROM whole w JOIN counted c USING (pair_id) WHERE good
+    UNION ALL SELECT pair_id, NULL, NULL, NULL, 'ValueError: a choice is missing, outside its block, or both choices are the same' FROM whole WHERE NOT good""")
+def maxdiff_rank_pairs(spark, d):
+    """Ranking records from the stored blocks and answers: one bad answer and the pair has an error in place of a ranking."""
+    from pyspark.sql.window import Window
+
+    last = Window.partitionBy("pair_id", "block_id").orderBy(F.col("answered_at").desc(), F.col("choice_id").desc())
+    latest = table(spark, d, "maxdiff_choices").where("pair_id IS NOT NULL AND block_id IS NOT NULL").withColumn("n", F.row_number().over(last)).where("n = 1")
+    labels = latest.groupBy("pair_id").agg(F.array_distinct(F.flatten(F.collect_list("relations"))).alias("relations"))
+    canonical = labels.select("pair_id", *(F.lit(None).cast("string").alias(c) for c in ("base_relation", "concept_1", "concept_2")), "relations")
+    out = md.rank_pairs(canonical, latest.select("pair_id", "block_id", "relations"), latest, MaxDiff())
+    flat = out.select("pair_id", "error", F.explode_outer("relations").alias("r"))
+    return flat.select("pair_id", "r.relation", "r.rank", F.round("r.score", 9).alias("score"), "error")
+
+
 @query("""SELECT a AS relation_1, b AS relation_2, count(*) AS n FROM (
     SELECT choice_id, a, unnest(items) AS b FROM (SELECT choice_id, items, unnest(items) AS a FROM (SELECT choice_id, list_distinct(list_filter(relations, lambda r: r IS NOT NULL)) AS items FROM maxdiff_choices))) WHERE a < b GROUP BY 1, 2""")
 def maxdiff_cooccurrence(spark, d):
@@ -558,6 +600,11 @@ def eligible_groups(spark, d):
     return _eligible(spark, d).groupBy("base_relation").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(f"{S_ELIGIBLE.replace('size >= 3', 'size >= 5')} SELECT pair_id, base_relation FROM eligible")
+def eligible_pairs_default(spark, d):
+    return _eligible(spark, d, Questions()).select("pair_id", "base_relation")
+
+
 @query(f"{S_ELIGIBLE}, {S_POOL} SELECT stem_id, target_id FROM pool")
 def target_pool(spark, d):
     return qs.target_pools(_eligible(spark, d))
@@ -767,9 +814,40 @@ def failure_counts(spark, d):
     return ql.failure_counts(table(spark, d, "wiki_evidence"), table(spark, d, "relation_rankings"))
 
 
-@query()
+@query(f"""{S_FAULTS} SELECT DISTINCT question_id, 'duplicate_question_id' AS rule FROM q""")
+def question_duplicate_ids(spark, d):
+    """Every question stored twice: the second of each breaks the rule."""
+    questions = table(spark, d, "analogy_questions")
+    found = ql.question_errors(questions.unionAll(questions), _one_pair(spark, d))
+    return found.where("rule = 'duplicate_question_id'").select("question_id", "rule")
+
+
+S_SIZES = lambda xs: f"(SELECT struct_pack(mean := coalesce(avg(n), 0), median := coalesce(median(n), 0), low := coalesce(min(n), 0), high := coalesce(max(n), 0)) FROM ({xs}))"
+
+
+@query(f"""{S_FAULTS}, faults AS (SELECT 'target_count' AS rule FROM q WHERE len(ids) <> 4
+        UNION ALL SELECT 'duplicate_target' FROM q WHERE len(ids) <> len(list_distinct(ids))
+        UNION ALL SELECT 'stem_among_targets' FROM q WHERE list_contains(ids, stem_id)
+        UNION ALL SELECT 'score_length' FROM m WHERE coalesce(len(vals), -1) <> len(ids)
+        UNION ALL SELECT 'invalid_answer' FROM m WHERE NOT coalesce(answers[measure] BETWEEN 0 AND len(ids) - 1, false)
+        UNION ALL SELECT 'unknown_target' FROM t LEFT JOIN one_pair p ON p.pair_id = t.target_id WHERE p.pair_id IS NULL
+        UNION ALL SELECT 'target_relation' FROM t JOIN one_pair p ON p.pair_id = t.target_id WHERE p.base_relation <> t.base_relation),
+    sizes AS (SELECT {S_SIZES("SELECT len(relations) AS n FROM relation_rankings WHERE len(relations) > 0 AND coalesce(error, '') = ''")} AS r, {S_SIZES("SELECT coalesce(len(evidence_sentences), 0) AS n FROM wiki_evidence")} AS c)
+    SELECT (SELECT count(*) FROM one_pair) AS pair_count, (SELECT count(*) FROM wiki_evidence) AS evidence_record_count, (SELECT count(*) FROM relation_rankings) AS ranking_record_count,
+        (SELECT count(*) FROM analogy_questions) AS question_count, (SELECT count(DISTINCT question_id) FROM analogy_questions) AS distinct_question_ids,
+        coalesce((SELECT string_agg(rule || '=' || CAST(n AS VARCHAR), ',' ORDER BY rule) FROM (SELECT rule, count(*) AS n FROM faults GROUP BY 1)), '') AS errors,
+        round(r.mean, 6) AS relations_mean, r.median AS relations_median, CAST(r.low AS BIGINT) AS relations_minimum, CAST(r.high AS BIGINT) AS relations_maximum,
+        round(c.mean, 6) AS sentences_mean, c.median AS sentences_median, CAST(c.low AS BIGINT) AS sentences_minimum, CAST(c.high AS BIGINT) AS sentences_maximum,
+        (SELECT string_agg(k || '=' || CAST(n AS VARCHAR), ',' ORDER BY k) FROM (SELECT CASE n WHEN 1 THEN 'all_three_agree' WHEN 2 THEN 'two_agree' ELSE 'all_differ' END AS k, count(*) AS n FROM (SELECT len(list_distinct(map_values(answers))) AS n FROM analogy_questions) GROUP BY 1)) AS agreement,
+        (SELECT count(*) FROM wiki_evidence WHERE NOT coalesce(passes_minimum, false)) AS failed_evidence, (SELECT count(*) FROM relation_rankings WHERE coalesce(len(relations), 0) = 0 OR coalesce(error, '') <> '') AS failed_rankings,
+        CASE WHEN (SELECT count(*) FROM faults) = 0 THEN 'ok' ELSE 'failed' END AS status FROM sizes""")
 def validation_report(spark, d):
-    return ql.report(_one_pair(spark, d), table(spark, d, "wiki_evidence"), table(spark, d, "relation_rankings"), table(spark, d, "analogy_questions"))
+    """The report with its maps as text, so that every number can be compared."""
+    made = ql.report(_one_pair(spark, d), table(spark, d, "wiki_evidence"), table(spark, d, "relation_rankings"), table(spark, d, "analogy_questions"))
+    listed = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    counts = ("pair_count", "evidence_record_count", "ranking_record_count", "question_count", "distinct_question_ids")
+    sizes = [F.round(F.col(f"{c}.{f}"), 6).alias(f"{n}_{f}") if f == "mean" else F.col(f"{c}.{f}").alias(f"{n}_{f}") for c, n in (("relation_statistics", "relations"), ("context_sentence_statistics", "sentences")) for f in ("mean", "median", "minimum", "maximum")]
+    return made.select(*counts, listed(F.col("errors")).alias("errors"), *sizes, listed(F.col("semantic_measure_agreement")).alias("agreement"), "failed_evidence", "failed_rankings", "status")
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")

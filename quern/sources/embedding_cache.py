@@ -32,13 +32,17 @@ def missing_texts(texts: DataFrame, cache: DataFrame, model: str, text: str = "t
     return keyed.join(cache.where(F.col("model") == model).select("cache_key"), "cache_key", "left_anti").select(text)
 
 
-def upserted(cache: DataFrame, fresh: DataFrame) -> DataFrame:
-    """The cache with fresh entries in place of stored ones of the same key; the last fresh one counts."""
+def upserted(cache: DataFrame, fresh: DataFrame, order: str) -> DataFrame:
+    """The cache with fresh entries in place of stored ones of the same key; the last fresh one by order counts."""
     columns = ["cache_key", "model", "text_value", "dimensions", "vector"]
     kept = cache.select(*columns).join(fresh.select("cache_key"), "cache_key", "left_anti")
-    last = Window.partitionBy("cache_key").orderBy(F.xxhash64("vector"))
-    once = fresh.select(*columns).withColumn("n", F.row_number().over(last)).where("n = 1").drop("n")
-    return kept.unionByName(once)
+    return kept.unionByName(last_entries(fresh, order).select(*columns))
+
+
+def last_entries(fresh: DataFrame, order: str) -> DataFrame:
+    """The last entry of each key by order."""
+    last = Window.partitionBy("cache_key").orderBy(F.col(order).desc())
+    return fresh.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", order)
 
 
 def entries(texts_with_vectors: DataFrame, model: str, text: str = "text") -> DataFrame:

@@ -103,10 +103,20 @@ def read_published(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("base_relation"), "*")
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, on whatever storage the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def write_report(report: DataFrame, path: str) -> dict:
     """A one-row report as readable JSON."""
     row = json.loads(report.toJSON().first())
-    Path(path).write_text(json.dumps(row, indent=2, ensure_ascii=False), encoding="utf-8")
+    write_text(report.sparkSession, path, json.dumps(row, indent=2, ensure_ascii=False))
     return row
 
 

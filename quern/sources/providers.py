@@ -22,7 +22,7 @@ from quern import schemas
 
 @dataclass
 class Throttle:
-    """At least delay seconds between two calls of one partition; partitions times rate stays bounded by coalesce."""
+    """At least delay seconds between two calls of one partition."""
 
     delay: float = 0.0
     last: float = 0.0
@@ -47,14 +47,14 @@ def with_retries(call: Callable[[], object], attempts: int = 5, most_wait: float
 
 
 def called(requests: DataFrame, provider: Callable[[dict], dict], schema: StructType, parallel: int = 1, delay: float = 0.0, attempts: int = 5) -> DataFrame:
-    """Replies of a provider to each request; parallel bounds how many partitions call it at a time.
+    """Replies of a provider to each request; parallel partitions call it, each so slowly that together they keep to delay.
 
     A request whose last attempt fails gives its key fields and the error as 'Type: message'.
     """
     fields = schema.fieldNames()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        throttle = Throttle(delay)
+        throttle = Throttle(delay * parallel)
 
         def one(row: dict) -> dict:
             def call() -> dict:
@@ -69,7 +69,8 @@ def called(requests: DataFrame, provider: Callable[[dict], dict], schema: Struct
         for batch in batches:
             yield pd.DataFrame([one(row) for row in batch.to_dict("records")], columns=fields)
 
-    return requests.coalesce(parallel).mapInPandas(run, schema)
+    # a shuffle, so that what comes before is not squeezed into so few tasks
+    return requests.repartition(parallel).mapInPandas(run, schema)
 
 
 def replayed(requests: DataFrame, recorded: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,21 +83,27 @@ def replayed(requests: DataFrame, recorded: DataFrame, keys: list[str]) -> DataF
 
 
 def embedded(texts: DataFrame, embed: Callable[[list[str]], Iterable[list[float]]], model: str, batch_size: int = 64, parallel: int = 1) -> DataFrame:
-    """Cache rows of texts (one column, text) from an embedding service called in batches; a short reply is an error."""
+    """Cache rows of texts (one column, text) from an embedding service called in batches; a short reply is an error.
+
+    A service that numbers its vectors, as (index, vector), may give them in any order.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = batch["text"].tolist()
             for at in range(0, len(values), batch_size):
                 part = values[at : at + batch_size]
-                vectors = [list(map(float, v)) for v in with_retries(lambda part=part: list(embed(part)))]
+                replies = with_retries(lambda part=part: list(embed(part)))
+                if replies and isinstance(replies[0], tuple):
+                    replies = [vector for _, vector in sorted(replies)]
+                vectors = [list(map(float, v)) for v in replies]
                 if len(vectors) != len(part):
                     raise ValueError(f"{len(vectors)} vectors for {len(part)} texts")
                 yield pd.DataFrame({"text": part, "vector": vectors})
 
     from quern.sources.embedding_cache import entries
 
-    return entries(texts.select("text").coalesce(parallel).mapInPandas(run, "text string, vector array<float>"), model)
+    return entries(texts.select("text").repartition(parallel).mapInPandas(run, "text string, vector array<float>"), model)
 
 
 def search_titles(queries: DataFrame, pages: DataFrame, limit: int = 8) -> DataFrame:

@@ -62,8 +62,10 @@ def test_cache(spark):
     texts = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "text string")
     assert [r[0] for r in ec.missing_texts(texts, cache, "m").collect()] == ["b"]
     assert ec.missing_texts(texts, cache, "other").count() == 2
-    new = ec.entries(spark.createDataFrame([("a", [3.0]), ("c", [4.0])], "text string, vector array<float>"), "m")
-    assert {r["text_value"]: r["vector"] for r in ec.upserted(cache, new).collect()} == {"a": [3.0], "c": [4.0]}
+    for values in ([1.0, 3.0], [3.0, 1.0]):  # the last one counts, whatever it holds
+        rows = [("a", [v]) for v in values] + [("c", [4.0])]
+        new = ec.entries(spark.createDataFrame(rows, "text string, vector array<float>"), "m").withColumn("at", F.monotonically_increasing_id())
+        assert {r["text_value"]: r["vector"] for r in ec.upserted(cache, new, "at").collect()} == {"a": [values[-1]], "c": [4.0]}
     broken = cache.withColumn("dimensions", F.lit(3))
     assert ec.corrupt(broken).count() == 1
     with pytest.raises(Exception, match="corrupt"):
