@@ -23,6 +23,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_looking(table(spark, sf_dir, "concept_pairs"), table(spark, sf_dir, "wiki_evidence"))
 
 
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.lookalikes import looking_classes
+
+    return looking_classes(table(spark, sf_dir, "concept_pairs"), table(spark, sf_dir, "wiki_evidence")).drop("class")
+
+
 def p2_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -85,7 +91,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids, p8_found, p9_found, p9_restored)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids, p8_found, p9_found, p9_restored)}
 
 
 
@@ -93,28 +99,28 @@ def _q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# The look-alikes and invisible characters that the SQL knows; one place in each row is one shape.
+S_LATIN = "ABCEHIJKMNOPSTXYZaceijhopsxyduvqw"
+S_CYRILLIC = "АВСЕНІЈКМ ОРЅТХУ асеіјһорѕхуԁ  ԛԝ"
+S_GREEK = "ΑΒ ΕΗΙ ΚΜΝΟΡ ΤΧΥΖα  ι  ορ    υν  "
+S_UNSEEN = "\u00ad\u034f\u061c\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\ufe00\ufe0e\ufe0f\ufeff"
+
+
 def _look_sql(x: str) -> str:
     """Skeleton of a text by one translation: width and look-alikes by tables, accents kept and composed."""
     import unicodedata
 
-    from quern.llm.lookalikes import INVISIBLE, SHAPES
-
-    frm, to = [], []
+    latin = {c: a for row in (S_CYRILLIC, S_GREEK) for a, c in zip(S_LATIN, row) if c != " "}
+    frm, to = ["\u2010", "\u2011", *latin], ["-", "-", *latin.values()]
     for code in range(0x80, 0xFFFF):
         char = chr(code)
-        tag = unicodedata.decomposition(char)
         single = unicodedata.normalize("NFKC", char)
-        if char in "\u2010\u2011":
-            frm, to = [*frm, char], [*to, "-"]
-        elif char in SHAPES and SHAPES[char].get("Latin", char) != char:
-            frm, to = [*frm, char], [*to, SHAPES[char]["Latin"]]
-        elif (tag.startswith("<") or char == "\u212a") and len(single) == 1 and single != char:
-            frm, to = [*frm, char], [*to, SHAPES[single]["Latin"] if single in SHAPES and "Latin" in SHAPES[single] else single]
-    gone = "".join(chr(c) for c in range(0x80, 0xFFFF) if INVISIBLE.match(chr(c)))
-    out = f"translate({x}, {_q(gone)}, '')"
+        if char not in frm and (unicodedata.decomposition(char).startswith("<") or char == "\u212a") and len(single) == 1 and single != char:
+            frm, to = [*frm, char], [*to, latin.get(single, single)]
+    out = f"translate({x}, {_q(S_UNSEEN)}, '')"
     for code in range(0x370, 0x530):  # Greek and Cyrillic letters with an accent, as letter and accent
         parts = unicodedata.normalize("NFD", chr(code))
-        if len(parts) == 2 and parts[0] in SHAPES:
+        if len(parts) == 2 and parts[0] in latin:
             out = f"replace({out}, {_q(chr(code))}, {_q(parts)})"
     for ligature, plain in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl")):
         out = f"replace({out}, '{ligature}', '{plain}')"
@@ -140,4 +146,6 @@ _P6_SQL = """WITH v AS (SELECT cache_key, model, list_transform(vector, lambda x
 
 #: Queries whose result DuckDB can state; the others are tested against brute force, round trips or fixtures.
 #: p6_found is approximate: the SQL compares all vectors, which small tables allow.
-ORACLE_SQL: dict[str, str] = {"p2_found": _p2_sql(), "p6_found": _P6_SQL}
+_P2 = _p2_sql()
+_P2_CLASSES = f"SELECT src, rec_id, id, count(*) AS links FROM (SELECT src, rec_id, id_1 AS id FROM ({_P2}) UNION ALL SELECT src, rec_id, id_2 FROM ({_P2})) GROUP BY 1, 2, 3"
+ORACLE_SQL: dict[str, str] = {"p2_found": _P2, "p2_classes": _P2_CLASSES, "p6_found": _P6_SQL}

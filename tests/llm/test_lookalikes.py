@@ -7,7 +7,21 @@ from quern.llm import lookalikes as K
 def test_token_scripts():
     assert K.resolved_scripts("Mount") == {"Latin"} and K.resolved_scripts("Моunt") == frozenset()
     assert K.resolved_scripts("漢かな") == {"Japanese"} and K.resolved_scripts("12") is None
-    assert K.confusion("Моunt") == "mixed" and K.confusion("Моор") == "whole" and K.confusion("Мельница") is None and K.confusion("Mount") is None
+    assert K.consistent("Моunt") == "Mount" and K.consistent("Моор") == "Moop" and K.consistent("Мельница") == "Мельница" and K.consistent("Mount") == "Mount"
+    assert K.consistent("Моор", "Cyrillic") == "Моор" == K.consistent("Moop", "Cyrillic")
+
+
+def test_confusables_of_many_scripts():
+    assert len(K.shapes()) > 300
+    for a, b in (("раураӏ", "paypal"), ("ɡood dıg", "good dig"), ("օne", "one"), ("Ꭺbc", "Abc"), ("ꓮꓐ", "AB"), ("уха и сор", "yxa и cop")):
+        assert K.visible_form(a) == K.visible_form(b)
+
+
+def test_the_text_chooses_the_script():
+    for text in ("уха и сор", "Это сор", "Αθήνα ΤΟΠΟ", "Tокио".replace("T", "Т")):
+        assert K.visible_form(text) == text
+    assert K.visible_form("The оld mill, уха") == "The old mill, yxa"
+    assert K.visible_form("сор") == "cop"
 
 
 @pytest.mark.parametrize("a,b", [
@@ -36,6 +50,16 @@ def test_pairs(spark):
     assert got == [(0, 1, 2), (0, 2, 3), (0, 7, 8)]
 
 
+def test_classes_count_the_links_of_the_pairs(spark):
+    rows = [(i, "a", "r", "Lake" if i % 3 else "Lаke", "Sea", None) for i in range(30)] + [(100, "a", "r", "Other", "Sea", None), (101, "a", "r", "Other", "Sea", None)]
+    pairs, evidence = spark.createDataFrame(rows, PAIRS), spark.createDataFrame([], EVIDENCE)
+    links: dict = {}
+    for _, a, b in map(tuple, K.same_looking_pairs(pairs).collect()):
+        links[a], links[b] = links.get(a, 0) + 1, links.get(b, 0) + 1
+    found = K.looking_classes(pairs, evidence).collect()
+    assert {r["id"]: r["links"] for r in found} == links and len({r["class"] for r in found}) == 1
+
+
 def test_sentences_and_empty(spark):
     long = "x" * 100_000
     rows = [(1, [(0, "A mill.", None, None), (1, "А mill.", None, None), (2, "A mill. ", None, None), (3, None, None, None), (4, "a mill.", None, None)]), (2, [(0, "А mill.", None, None)]), (3, None), (4, [(0, long, None, None), (1, long + "​", None, None)])]
