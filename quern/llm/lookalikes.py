@@ -25,6 +25,7 @@ import struct
 import sys
 import unicodedata
 import zipfile
+from collections import Counter
 from functools import lru_cache
 
 import pandas as pd
@@ -42,8 +43,6 @@ DASHES = {"‐": "-", "‑": "-", "‒": "-", "­": "", "−": "-", "﹣": "-",
 #: Tokens with a letter beyond ASCII; the others are consistent as they are.
 TOKEN = re.compile(r"(?<![^\W\d_])[A-Za-z]*+(?:[^\W\d_A-Za-z]|[̀-ͯ])(?:[^\W\d_]|[̀-ͯ])*")
 ANY_TOKEN = re.compile(r"[^\W\d_](?:[^\W\d_]|[̀-ͯ])*")
-OTHER_LETTER = re.compile(r"[^\W\d_A-Za-z]")
-ASCII_LETTER = re.compile("[A-Za-z]")
 DASH = re.compile("[" + "".join(DASHES) + "]")
 #: Accents that combine with letters of any alphabet.
 ACCENTS = re.compile("[̀-ͯ҃-҉᪰-᫿᷀-᷿⃐-⃰︠-︯]")
@@ -164,17 +163,34 @@ def consistent(token: str, script: str = "Latin") -> str:
     return token if scripts else "".join(known[c]["Latin"] if c in known else c for c in token)
 
 
+@lru_cache(maxsize=1)
+def shaped_letter() -> re.Pattern:
+    """Letters beyond ASCII of the scripts that have a look-alike of an ASCII letter, and Latin ones that are one; all beyond
+    the first plane, where a class of single letters would be slow."""
+    scripts = {script for shape in shapes().values() for script in shape} - {"Latin"}
+    codes = [c for c in range(0x80, 0x10000) if unicodedata.category(chr(c))[0] == "L" and (chr(c) in shapes() or not scripts.isdisjoint(script_set(chr(c)) or ()))]
+    ranges: list[list[int]] = []
+    for code in codes:
+        if ranges and ranges[-1][1] == code - 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "\U00010000-\U0001ffff]")
+
+
 def text_script(text: str) -> str:
     """The script of most letters of a decomposed text that have no look-alike elsewhere; Latin where there are none."""
+    letters, known = Counter(text), shapes()
     counts: dict[str, int] = {}
-    for letter in OTHER_LETTER.findall(text):
-        if letter not in shapes():
+    for letter, n in letters.items():
+        if letter > "\x7f" and letter not in known:
             for script in script_set(letter) or ():
-                counts[script] = counts.get(script, 0) + 1
+                counts[script] = counts.get(script, 0) + n
     if not counts:
         return "Latin"
     script = max(counts, key=lambda k: (counts[k], k))
-    return script if counts[script] > sum(script not in shapes().get(c, ()) for c in ASCII_LETTER.findall(text)) else "Latin"
+    latin = sum(n for letter, n in letters.items() if letter <= "\x7f" and letter.isalpha() and script not in known.get(letter, ()))
+    return script if counts[script] > latin else "Latin"
 
 
 def visible_form(text: str, spaces: bool = True) -> str:
@@ -182,7 +198,7 @@ def visible_form(text: str, spaces: bool = True) -> str:
     if not text.isascii():
         text = unicodedata.normalize("NFKD", INVISIBLE.sub("", text))
         text = DASH.sub(lambda m: DASHES[m.group()], text)
-        if TOKEN.search(text):
+        if shaped_letter().search(text):  # all other tokens are consistent as they are
             script = text_script(text)
             text = (TOKEN if script == "Latin" else ANY_TOKEN).sub(lambda m: consistent(m.group(), script), text)
         text = unicodedata.normalize("NFC", text)
