@@ -45,6 +45,13 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped(typed, table(spark, sf_dir, "relation_vocab"), "typed")
 
 
+def p3_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quern.llm.vocabulary import near_entries, typed_values
+
+    typed = typed_values(table(spark, sf_dir, "raw_relations"), table(spark, sf_dir, "canonical_relations"))
+    return near_entries(typed, table(spark, sf_dir, "relation_vocab"), "typed")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.ranking import rank_relations
 
@@ -61,6 +68,14 @@ def p4_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("relation", F.round("strength", 6).alias("score"), "compared", "rank")
 
 
+def p4_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from quern.llm.ranking import item_strengths
+
+    return item_strengths(table(spark, sf_dir, "maxdiff_choices")).select("item", F.round("strength", 6).alias("score"), "compared")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quern.llm.neighbours import neighbour_pairs
 
@@ -91,7 +106,7 @@ def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return restored_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p2_normalized, p3_found, p4_found, p4_strengths, p6_found, p7_ids, p8_found, p9_found, p9_restored)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p2_found, p2_classes, p2_normalized, p3_found, p3_candidates, p4_found, p4_strengths, p4_items, p6_found, p7_ids, p8_found, p9_found, p9_restored)}
 
 
 

@@ -12,7 +12,7 @@ four sums reach the driver. Lineage is cut by a checkpoint every round.
 Defined results: a block (pair, block number) counts once, by its answer of latest time (ties: larger choice id); rows
 without a pair or block number are blocks of their own; labels match their block by slug; a null label, one outside its
 block or two equal labels say nothing; null items are ignored; an item without comparisons has strength 0; ties rank by
-name; empty input gives strength 0 for all; other columns are ignored.
+name; empty input gives strength 0 for all; a system that has not settled after MAX_ROUNDS fails; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.functions.text import ascii_slug
+from quern.functions.text import relation_slug
 from quern.runtime import cut
 
 #: Weight of the spring that holds each item at zero, in comparisons.
@@ -35,9 +35,9 @@ def latest_answers(choices: DataFrame) -> DataFrame:
 
     Labels become short before the one shuffle, which is on (pair_id, block_id); its keys are many and small.
     """
-    items = F.array_distinct(F.filter(F.transform("relations", ascii_slug), lambda r: r.isNotNull() & (r != "")))
+    items = F.array_distinct(F.filter(F.transform("relations", relation_slug), lambda r: r.isNotNull() & (r != "")))
     own = F.when(F.col("pair_id").isNull() | F.col("block_id").isNull(), F.col("choice_id"))
-    slim = choices.select("pair_id", "block_id", own.alias("own"), "answered_at", "choice_id", items.alias("items"), ascii_slug(F.col("most_relevant")).alias("most"), ascii_slug(F.col("least_relevant")).alias("least"))
+    slim = choices.select("pair_id", "block_id", own.alias("own"), "answered_at", "choice_id", items.alias("items"), relation_slug(F.col("most_relevant")).alias("most"), relation_slug(F.col("least_relevant")).alias("least"))
     slim = slim.select("pair_id", "block_id", "own", "answered_at", "choice_id", "items", F.array_position("items", F.col("most")).cast("int").alias("most_at"), F.array_position("items", F.col("least")).cast("int").alias("least_at"))
     order = Window.partitionBy("pair_id", "block_id", "own").orderBy(F.col("answered_at").desc_nulls_last(), F.col("choice_id").desc_nulls_last())
     last = slim.withColumn("n", F.row_number().over(order)).where("n = 1")
@@ -79,16 +79,23 @@ def spring_strengths(outcomes: DataFrame, ridge: float = RIDGE, tolerance: float
         state = moved.select("i", "d", "compared", (F.col("x") + alpha * F.col("p")).alias("x"), r.alias("r"), (r / F.col("d") + (left / sums.rz) * F.col("p")).alias("p"))
         if left <= tolerance * tolerance * first:
             break
+    else:
+        raise RuntimeError(f"the strengths have not settled within {max_rounds} rounds")
     return state.select(F.col("i").alias("item"), F.col("x").alias("strength"), "compared")
 
 
+def item_strengths(choices: DataFrame) -> DataFrame:
+    """(item, strength, compared) of every label, as a slug, that was compared, whether or not a list holds it."""
+    return spring_strengths(comparisons(latest_answers(choices)))
+
+
 def rank_relations(choices: DataFrame, vocab: DataFrame) -> DataFrame:
     """(relation, strength, compared, rank, quarter) for each relation of the vocabulary.
 
     The final window is over the vocabulary, a fixed table, not over the answers.
     """
-    strengths = spring_strengths(comparisons(latest_answers(choices)))
-    names = vocab.where("relation IS NOT NULL").select("relation").distinct().withColumn("item", ascii_slug(F.col("relation")))
+    strengths = item_strengths(choices)
+    names = vocab.where("relation IS NOT NULL").select("relation").distinct().withColumn("item", relation_slug(F.col("relation")))
     order = Window.orderBy(F.col("strength").desc(), F.col("relation"))
     joined = names.join(strengths, "item", "left").select("relation", F.coalesce("strength", F.lit(0.0)).alias("strength"), F.coalesce("compared", F.lit(0)).alias("compared"))
     return joined.select("relation", "strength", "compared", F.row_number().over(order).cast("bigint").alias("rank"), F.ntile(4).over(order).cast("bigint").alias("quarter"))

@@ -3,7 +3,8 @@
 A trie holds every entry by name, label and aliases; further paths hold the word orders of an entry and its words cut
 short, as people write them. A typed value walks the trie as a Levenshtein automaton (insertion, deletion, exchange and
 transposition of letters; the automaton's state is a band of distances) and all entries within a distance that depends on
-the length come back; the nearest counts, and a tie between entries is no answer.
+the length come back; for an answer the nearest counts, and a tie between entries is no answer; near_entries gives them all,
+with their distances.
 
 Before the walk a value is brought to its consistent script form, split at camel case, folded, and freed of remarks around
 the value proper; "a / b", "a = b" and "a or b" are read as alternatives.
@@ -137,14 +138,12 @@ class Vocabulary:
 
     def __init__(self, entries: list[tuple[str, list[str]]]):
         self.names = [name for name, _ in entries]
-        self.exact: dict[str, set[int]] = {}
         self.straight, self.altered = Trie(), Trie()
         for entry, (name, others) in enumerate(entries):
             for value in dict.fromkeys([name, *others]):
                 words = words_of(plain_value(value))
                 if not words:
                     continue
-                self.exact.setdefault(" ".join(words), set()).add(entry)
                 self.straight.add(" ".join(words), entry, 0)
                 for path in self._altered(words):
                     self.altered.add(path, entry, 0)
@@ -163,22 +162,36 @@ class Vocabulary:
 
     def nearest(self, words: list[str]) -> tuple[int, set[int]] | None:
         """(distance, entries) of the nearest entries within the distance for the length."""
-        value = " ".join(words)
-        if value in self.exact:
-            return 0, self.exact[value]
-        limit = allowed(len(value))
-        best: dict[int, int] = self.straight.within(value, limit)
-        least = min(best.values(), default=limit + 1)
-        if least > 0:
-            # an altered path may differ less: the whole value must still be spelled almost right
-            for entry, d in self.altered.within(value, min(limit, 2 if len(value) > 10 else 1)).items():
-                if d < best.get(entry, limit + 1):
-                    best[entry] = d
+        best = self.within(" ".join(words))
         if not best:
             return None
         least = min(best.values())
         return least, {e for e, d in best.items() if d == least}
 
+    def within(self, value: str, whole: bool = False) -> dict[int, int]:
+        """Entry -> distance of the entries within the distance for the length; only those at no distance where there are
+        some, unless the whole is asked for."""
+        best = {} if whole else self.straight.within(value, 0)
+        if not best:
+            limit = allowed(len(value))
+            best = self.straight.within(value, limit)
+        if min(best.values(), default=1) > 0 or whole:
+            limit = allowed(len(value))
+            # an altered path may differ less: the whole value must still be spelled almost right
+            for entry, d in self.altered.within(value, min(limit, 2 if len(value) > 10 else 1)).items():
+                if d < best.get(entry, limit + 1):
+                    best[entry] = d
+        return best
+
+    def near(self, typed: str) -> list[tuple[str, int]]:
+        """(name, distance) of all entries within the distance, of the value or of what is left without remarks."""
+        best: dict[int, int] = {}
+        text = plain_value(typed)
+        for words in without_remarks(words_of(text), text):
+            for entry, d in (self.within(" ".join(words), whole=True) if words else {}).items():
+                best[entry] = min(d, best.get(entry, d))
+        return sorted(((self.names[e], d) for e, d in best.items()), key=lambda x: (x[1], x[0]))
+
     def entry_of(self, typed: str) -> str:
         """Name of the entry that a typed value means, or the empty string."""
         known = self.memory.get(typed)
@@ -254,6 +267,31 @@ def mapped(values: DataFrame, vocab: DataFrame, value: str) -> DataFrame:
     return values.select(*keys, value).mapInArrow(look_up, schema)
 
 
+def near_entries(values: DataFrame, vocab: DataFrame, value: str) -> DataFrame:
+    """The columns of values but for the typed one, with relation and distance: one row for each entry within the distance."""
+    payload = broadcast_bytes(values.sparkSession, reference_payload(vocab))
+    keys = [c for c in values.columns if c != value]
+    schema = ", ".join(f"`{k}` {values.schema[k].dataType.simpleString()}" for k in keys) + ", relation string, distance int"
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, memory = vocabulary_of(payload.value), {}
+        for batch in batches:
+            if len(memory) > MEMORY:
+                memory.clear()
+            rows, names, distances = [], [], []
+            for row, typed in enumerate(batch.column(len(keys)).to_pylist()):
+                if typed not in memory:
+                    memory[typed] = known.near(typed)
+                for name, d in memory[typed]:
+                    rows.append(row)
+                    names.append(name)
+                    distances.append(d)
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(len(keys))), pa.array(names, pa.string()), pa.array(distances, pa.int32())], names=[*keys, "relation", "distance"])
+
+    return values.select(*keys, value).mapInArrow(look_up, schema)
+
+
 def typed_values(mined: DataFrame, canonical: DataFrame) -> DataFrame:
     """(src, rec_id, pos, typed) of both tables' relation lists; nulls and blanks are left out."""
     a = mined.select(F.lit("raw_relations").alias("src"), F.col("mined_id").alias("rec_id"), F.posexplode(F.transform("relations", lambda r: r["raw_predicate"])).alias("pos", "typed"))

@@ -1,6 +1,7 @@
 import datetime
 
 import numpy as np
+import pytest
 
 from quern.llm import ranking as R
 
@@ -54,3 +55,15 @@ def test_empty_and_ties(spark):
     vocab = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], VOCAB)
     ranked = R.rank_relations(spark.createDataFrame([], CHOICES), vocab).orderBy("rank").collect()
     assert [(r["relation"], r["strength"]) for r in ranked] == [("a", 0.0), ("b", 0.0)]
+
+
+def test_items_outside_the_list_and_of_other_letters(spark):
+    rows = [(i, "p", i, ["Größe von", "other", "unlisted"], "grosse_von", "unlisted", at(i), None) for i in range(3)]
+    items = {r["item"]: r["strength"] for r in R.item_strengths(spark.createDataFrame(rows, CHOICES)).collect()}
+    assert set(items) == {"grosse_von", "other", "unlisted"} and items["grosse_von"] > items["other"] > items["unlisted"]
+
+
+def test_a_system_that_does_not_settle_fails(spark):
+    rows = [(f"r{i}", f"r{i + 1}", 10) for i in range(30)]
+    with pytest.raises(RuntimeError, match="settled"):
+        R.spring_strengths(spark.createDataFrame(rows, "winner string, loser string, n bigint"), tolerance=1e-12, max_rounds=2)

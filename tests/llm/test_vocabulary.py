@@ -64,3 +64,12 @@ def test_rows(spark):
     none = spark.createDataFrame([], VOCAB)
     assert {r["relation"] for r in mapped(typed_values(raw, canon), none, "typed").collect()} == {""}
     assert mapped(typed_values(spark.createDataFrame([], RAW), spark.createDataFrame([], CANON)), vocab, "typed").count() == 0
+
+
+def test_all_entries_within_the_distance(spark):
+    values = spark.createDataFrame([(1, "flows into"), (2, "excavatd at"), (3, "nothing like it"), (4, "flows in to")], "pos bigint, typed string")
+    vocab = spark.createDataFrame([(i, name, None, others) for i, (name, others) in enumerate([*ENTRIES, ("flown_into", ["x"])])], "relation_id bigint, relation string, label string, aliases array<string>")
+    from quern.llm.vocabulary import near_entries
+
+    found = {(r["pos"], r["relation"]): r["distance"] for r in near_entries(values, vocab, "typed").collect()}
+    assert found == {(1, "flows_into"): 0, (1, "flown_into"): 1, (2, "excavated_at"): 1, (4, "flows_into"): 1, (4, "flown_into"): 2}
