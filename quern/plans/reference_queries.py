@@ -539,21 +539,6 @@ def vector_zero_guard(spark, d):
     return table(spark, d, "embedding_cache").where(finite).select("cache_key", F.round(V.cosine(F.col("vector"), F.col("vector")), 9).alias("self_similarity"))
 
 
-#: Sets of vectors as those of one pair's contexts: up to 50 of a label by range of ids, odd ids against even ones.
-S_CONTEXT = f"""{S_VEC}, sides AS (SELECT label, vec_id // 100 AS part, vec_id % 2 AS side, v FROM vec)"""
-
-
-@query(f"""WITH {S_CONTEXT}, labels AS (SELECT DISTINCT label, part FROM sides), cosines AS (SELECT a.label AS label, a.part AS part, {s_cos('a.v', 'b.v')} AS c FROM sides a JOIN sides b ON a.label = b.label AND a.part = b.part AND a.side = 0 AND b.side = 1)
-    SELECT label, part, coalesce(round(avg(c) FILTER (WHERE c > 0.2), 9), 0.0) AS similarity, coalesce(round(avg(c) FILTER (WHERE c > 0.99), 9), 0.0) AS similarity_none FROM labels LEFT JOIN cosines USING (label, part) GROUP BY 1, 2""")
-def context_similarity(spark, d):
-    e = table(spark, d, "embeddings")
-    side = lambda n: F.filter(F.collect_list(F.when(F.col("vec_id") % 2 == n, F.col("embedding"))), lambda v: v.isNotNull())
-    sides = e.groupBy("label", F.floor(F.col("vec_id") / 100).alias("part")).agg(side(0).alias("l"), side(1).alias("r"))
-    low = V.context_similarity(sides, ["label", "part"], "l", "r", 0.2).select("label", "part", F.round("similarity", 9).alias("similarity"))
-    none = V.context_similarity(sides, ["label", "part"], "l", "r", 0.99).select("label", "part", F.round("similarity", 9).alias("similarity_none"))
-    return low.join(none, ["label", "part"])
-
-
 @query(f"""WITH {S_PAIRS}, {S_ONE_PAIR}, asked AS (SELECT pair_id, concept_1 || ' : ' || concept_2 AS pair_text, concept_1 || ' : ' || concept_2 || ' | base relation: ' || base_relation AS stem_text FROM one_pair)
     SELECT pair_id, md5(pair_text) AS pair_text, md5(stem_text) AS stem_text FROM asked""")
 def prototype_texts(spark, d):
@@ -660,36 +645,6 @@ def question_build(spark, d):
     return ids.select("stem_id", "question_id", F.array_join("target_ids", ",").alias("targets"))
 
 
-def _contexts(spark, d):
-    """Stand-in contexts, three for each two hex digits: usable cached vectors by the first digits of their key, met by the last of a pair's id."""
-    from pyspark.sql.window import Window
-
-    usable = table(spark, d, "embedding_cache").where("size(vector) = 64 AND dimensions = 64 AND NOT exists(vector, x -> x IS NULL OR isnan(x) OR x = float('Infinity') OR x = float('-Infinity'))")
-    first = F.row_number().over(Window.partitionBy("k").orderBy("cache_key"))
-    few = usable.select(F.substring("cache_key", 1, 2).alias("k"), "cache_key", "vector").withColumn("n", first).where("n <= 3")
-    return few.groupBy("k").agg(F.collect_list("vector").alias("vectors"))
-
-
-S_ANSWERS = f"""{S_QUESTIONS},
-    usable AS (SELECT substr(cache_key, 1, 2) AS k, list_transform(vector, lambda x: CAST(x AS DOUBLE)) AS v, row_number() OVER (PARTITION BY substr(cache_key, 1, 2) ORDER BY cache_key) AS n FROM embedding_cache WHERE len(vector) = 64 AND dimensions = 64 AND len(list_filter(vector, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-    ctx AS (SELECT pair_id, v FROM one_pair JOIN usable ON k = right(pair_id, 2) AND usable.n <= 3),
-    shared AS (SELECT stem_id, slot, target_id, coalesce(sum(s.score * t.score), 0.0) AS value FROM sampled JOIN scores s ON s.pair_id = stem_id LEFT JOIN scores t ON t.pair_id = target_id AND t.relation = s.relation GROUP BY 1, 2, 3),
-    contexts AS (SELECT stem_id, slot, target_id, coalesce(avg(c) FILTER (WHERE c > 0.05), 0.0) AS value FROM (SELECT stem_id, slot, target_id, CASE WHEN a.v IS NOT NULL AND b.v IS NOT NULL THEN {s_cos('a.v', 'b.v')} END AS c FROM sampled LEFT JOIN ctx a ON a.pair_id = stem_id LEFT JOIN ctx b ON b.pair_id = target_id) GROUP BY 1, 2, 3),
-    long AS (SELECT stem_id, slot, target_id, 'ranked_relational_overlap' AS measure, round(value, 6) AS value FROM shared UNION ALL SELECT stem_id, slot, target_id, 'context_embedding_similarity', round(value, 6) FROM contexts),
-    top AS (SELECT *, max(value) OVER (PARTITION BY stem_id, measure) AS best FROM long)"""
-
-
-@query(f"{S_ANSWERS} SELECT stem_id, measure, min(slot) AS answer, string_agg(CAST(slot AS VARCHAR), ',' ORDER BY slot) AS ties, min_by(target_id, slot) AS answer_pair_id FROM top WHERE abs(value - best) <= 1e-10 GROUP BY 1, 2")
-def question_answers(spark, d):
-    eligible = _eligible(spark, d)
-    sampled = _sampled(spark, d, eligible)
-    by_pair = _one_pair(spark, d).select("pair_id", F.right("pair_id", F.lit(2)).alias("k")).join(_contexts(spark, d), "k").select("pair_id", "vectors")
-    scored = qs.context_scores(qs.relation_overlaps(sampled, eligible), by_pair, threshold=0.05)
-    rounded = scored.withColumns({m: F.round(m, 6) for m in qs.MEASURES[:2]})
-    out = qs.answers(rounded, qs.MEASURES[:2])
-    return out.select("stem_id", "measure", F.col("answer").cast("bigint").alias("answer"), F.array_join(F.transform("tied", lambda i: i.cast("string")), ",").alias("ties"), "answer_pair_id")
-
-
 def s_words(x: str) -> str:
     return f"trim(regexp_replace({s_fold(x)}, '[ :_]+', ' ', 'g'))"
 
@@ -730,9 +685,17 @@ S_WHOLE = f"""{S_QUESTIONS},
     top AS (SELECT *, max(value) OVER (PARTITION BY stem_id, measure) AS best FROM long)"""
 
 
+@query(f"{S_WHOLE} SELECT stem_id, slot, target_id, value AS similarity FROM long WHERE measure = 'context_embedding_similarity'")
+def context_similarity(spark, d):
+    """Mean cosine above the threshold between the context vectors of a stem and of each of its targets."""
+    eligible = _eligible(spark, d)
+    scored = qs.context_scores(_sampled(spark, d, eligible), mentioned_vectors(eligible, table(spark, d, "embedding_cache")), threshold=0.05)
+    return scored.select("stem_id", F.col("slot").cast("bigint").alias("slot"), "target_id", F.round(qs.MEASURES[1], 6).alias("similarity"))
+
+
 @query(f"{S_WHOLE} SELECT stem_id, measure, min(slot) AS answer, string_agg(CAST(slot AS VARCHAR), ',' ORDER BY slot) AS ties, min_by(target_id, slot) AS answer_pair_id, max(best) AS best FROM top WHERE abs(value - best) <= 1e-10 GROUP BY 1, 2")
-def question_answers_whole(spark, d):
-    """All three measures; contexts from every usable vector, where question_answers takes three of a key prefix."""
+def question_answers(spark, d):
+    """All three measures; contexts from every usable vector that names a concept of the pair."""
     eligible = _eligible(spark, d)
     texts = lambda c: eligible.select(c.alias("text_value"))
     vectors = _digest_vectors(texts(qs.stem_text(F.col("concept_1"), F.col("concept_2"), F.col("base_relation"))).unionByName(texts(qs.pair_text(F.col("concept_1"), F.col("concept_2")))))

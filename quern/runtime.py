@@ -5,13 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most bytes that the driver hands to every executor; above it an operator takes its shuffled path.
+#: Most bytes that the driver hands to every executor at once; what may be larger is split into parts of that size or refused.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -47,7 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         master = sc.master
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = "file://" + tempfile.mkdtemp(prefix="quern-checkpoint-")
     sc.setCheckpointDir(configured)
@@ -67,27 +66,6 @@ def broadcast_bytes(spark: SparkSession, payload: bytes, limit: int = BROADCAST_
     return spark.sparkContext.broadcast(payload)
 
 
-def blocks(df: DataFrame, key: str, size: int) -> Iterable[list]:
-    """Rows of a small, stated query set in blocks of at most size rows, ordered by key.
-
-    The driver holds one block at a time, whatever the number of rows.
-    """
-    block: list = []
-    for row in df.orderBy(key).toLocalIterator():
-        block.append(row)
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
 def blank(c: Column) -> Column:
     """Null or nothing but white space (no-break and ideographic spaces included)."""
     return c.isNull() | (F.length(F.regexp_replace(c, r"[\s\p{Z}]", "")) == 0)
-
-
-def python_env_threads() -> None:
-    """Keep numeric libraries at one thread per task."""
-    for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):
-        os.environ.setdefault(name, "1")
